@@ -154,7 +154,8 @@ def _edge_rows(
     # the nearest block comes last in the frame; putting it first makes the n nearest rows a plain slice
     outside = F.flatten(F.reverse(F.collect_list("_edge").over(by_block.rowsBetween(-n, -1))))
     return (
-        edge.select(*keys, BLOCK, F.explode(F.slice(outside, 1, n)).alias("_row"))
+        edge.select(*keys, BLOCK, outside.alias("_outside"))
+        .select(*keys, BLOCK, F.explode(F.slice("_outside", 1, n)).alias("_row"))
         .select(*keys, BLOCK, *[F.col(f"_row.{c}").alias(c) for c in names if c not in keys])
         .withColumn(CONTEXT, F.lit(True))
     )

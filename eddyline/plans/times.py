@@ -99,10 +99,10 @@ def late_side_output(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "wm_multi_input",
-    calls_sql(f"""SELECT t - t % {DAY} AS t_start, count(*) FILTER (call_type = 'busy') AS n_busy,
-      count(*) FILTER (call_type = 'success') AS n_success FROM calls WHERE call_type IN ('busy', 'success') GROUP BY ALL
-      HAVING t - t % {DAY} + {DAY} - 1 <= least((SELECT max(t) FROM calls WHERE call_type = 'busy'),
-        (SELECT max(t) FROM calls WHERE call_type = 'success')) - {DELAY} - 1"""),
+    calls_sql(f""", w AS (SELECT t - t % {DAY} AS t_start, call_type FROM calls WHERE call_type IN ('busy', 'success'))
+      SELECT t_start, count(*) FILTER (call_type = 'busy') AS n_busy, count(*) FILTER (call_type = 'success') AS n_success FROM w
+      WHERE t_start + {DAY} - 1 <= least((SELECT max(t) FROM calls WHERE call_type = 'busy'),
+        (SELECT max(t) FROM calls WHERE call_type = 'success')) - {DELAY} - 1 GROUP BY t_start"""),
 )
 def wm_multi_input(spark: SparkSession, sf: str) -> DataFrame:
     """Two inputs merged; a window has fired once the slower input's watermark has passed its end."""

@@ -29,7 +29,7 @@ CONTEXT = "_context"
 Width = Column | int
 
 
-def auto_width(base: DataFrame, position: str, target_rows: int = 2_000_000) -> Column:
+def auto_width(base: DataFrame, position: str, target_rows: int = 8_000_000) -> Column:
     """Block width under which all keys together have about `target_rows` rows per block.
 
     A lazy scalar subquery over one column of the base table. A block of one key never has more rows than

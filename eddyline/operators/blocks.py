@@ -23,6 +23,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK = "_block"
 CONTEXT = "_context"
@@ -51,7 +52,17 @@ def block_window(keys: Sequence[str], order: Sequence[str], reverse: bool = Fals
     return Window.partitionBy(*keys, BLOCK).orderBy(*cols)
 
 
-def _fold(kind: str, value: Column, place: Column, reverse: bool) -> Column:
+def _latest(row: Column, fields: Sequence[str], known: Column, reverse: bool) -> Column:
+    """The struct `row` at the largest (smallest when `reverse`) `known`, null if `known` always is.
+
+    Taken field by field: with fixed-width fields and an integer place this stays a hash aggregation, whereas a
+    struct in the aggregation buffer would make Spark sort the rows before aggregating them.
+    """
+    pick, edge = (F.min_by, F.min) if reverse else (F.max_by, F.max)
+    return F.when(edge(known).isNotNull(), F.struct(*[pick(row[f], known).alias(f) for f in fields]))
+
+
+def _fold(kind: str, value: Column, place: Column, reverse: bool, fields: Sequence[str]) -> Column:
     if kind == "sum":
         return F.sum(value)
     if kind == "min":
@@ -60,10 +71,20 @@ def _fold(kind: str, value: Column, place: Column, reverse: bool) -> Column:
         return F.max(value)
     if kind == "last":
         known = F.when(value.isNotNull(), place)
+        if fields:
+            return _latest(value, fields, known, reverse)
         return F.min_by(value, known) if reverse else F.max_by(value, known)
     raise ValueError(f"unknown running aggregate: {kind}")
 
 
+def _place(order: Sequence[str]) -> Column:
+    return F.struct(*order) if len(order) > 1 else F.col(order[0])
+
+
+def _fields(kind: T.DataType) -> list[str]:
+    return kind.names if isinstance(kind, T.StructType) else []
+
+
 def _over(kind: str, value: Column, window: WindowSpec) -> Column:
     folded = {"sum": F.sum, "min": F.min, "max": F.max}.get(kind)
     return (folded(value) if folded else F.last(value, ignorenulls=True)).over(window)
@@ -88,15 +109,18 @@ def running(
     values = {f"_v_{name}": expr for name, (_, expr) in outputs.items()}
     rows = df.withColumns({BLOCK: block_start(F.col(order[0]), width), **values})
 
-    place = F.struct(*order)
+    # every block of a key needs its entry, also one without a value of its own
     totals = rows.groupBy(*keys, BLOCK).agg(
-        *[_fold(kind, F.col(f"_v_{n}"), place, reverse).alias(f"_v_{n}") for n, kind in kinds.items()]
+        *[
+            _fold(kind, F.col(f"_v_{n}"), _place(order), reverse, _fields(rows.schema[f"_v_{n}"].dataType)).alias(f"_v_{n}")
+            for n, kind in kinds.items()
+        ]
     )
     by_block = Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc() if reverse else F.col(BLOCK))
     earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *keys, BLOCK, *[_over(kind, F.col(f"_v_{n}"), earlier).alias(f"_v_{n}") for n, kind in kinds.items()]
-    ).where(reduce(or_, [F.col(f"_v_{n}").isNotNull() for n in kinds]))
+    ).where(reduce(or_, [F.col(v).isNotNull() for v in values]))
 
     both = rows.withColumn(CONTEXT, F.lit(False)).unionByName(
         carried.withColumn(CONTEXT, F.lit(True)), allowMissingColumns=True
@@ -141,22 +165,26 @@ def _edge_rows(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str], n: int, reverse: bool
 ) -> DataFrame:
     """For every block, the n rows of the key just outside it (before it, or after it when `reverse`)."""
-    names = list(dict.fromkeys([*order, *payload]))
-    nearest = block_window(keys, order, reverse=not reverse)
-    edge = (
-        rows.select(*keys, BLOCK, *[c for c in names if c not in keys])
-        .withColumn("_n", F.row_number().over(nearest))
-        .where(F.col("_n") <= n)
-        .groupBy(*keys, BLOCK)
-        .agg(F.sort_array(F.collect_list(F.struct("_n", *[c for c in names if c not in keys]))).alias("_edge"))
-    )
+    names = [c for c in dict.fromkeys([*order, *payload]) if c not in keys]
+    slim = rows.select(*keys, BLOCK, *names)
+    if n == 1:
+        # the outermost row of each block by partial aggregation, without sorting the rows
+        edge = slim.groupBy(*keys, BLOCK).agg(F.array(_latest(F.struct(*names), names, _place(order), reverse)).alias("_edge"))
+    else:
+        outermost = F.row_number().over(block_window(keys, order, reverse=not reverse))
+        edge = (
+            slim.withColumn("_n", outermost)
+            .where(F.col("_n") <= n)
+            .groupBy(*keys, BLOCK)
+            .agg(F.sort_array(F.collect_list(F.struct("_n", *names))).alias("_edge"))
+        )
     by_block = Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc() if reverse else F.col(BLOCK))
     # the nearest block comes last in the frame; putting it first makes the n nearest rows a plain slice
     outside = F.flatten(F.reverse(F.collect_list("_edge").over(by_block.rowsBetween(-n, -1))))
     return (
         edge.select(*keys, BLOCK, outside.alias("_outside"))
         .select(*keys, BLOCK, F.explode(F.slice("_outside", 1, n)).alias("_row"))
-        .select(*keys, BLOCK, *[F.col(f"_row.{c}").alias(c) for c in names if c not in keys])
+        .select(*keys, BLOCK, *[F.col(f"_row.{c}").alias(c) for c in names])
         .withColumn(CONTEXT, F.lit(True))
     )
 

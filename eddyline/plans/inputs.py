@@ -31,7 +31,7 @@ def us_to_ts(us: Column) -> Column:
 def as_calls(events: DataFrame) -> DataFrame:
     """`events` as a call log. Works on batch and streaming input."""
     state = F.col("event_type")
-    mapped = F.lit(None).cast("string")
+    mapped = state
     for source, target in CALL_STATES.items():
         mapped = F.when(state == source, target).otherwise(mapped)
     return events.select(
@@ -40,13 +40,18 @@ def as_calls(events: DataFrame) -> DataFrame:
         epoch_us(F.col("ts")).alias("t"),
         F.col("user_id").alias("sid"),
         F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("call_in"),
-        F.coalesce(mapped, state).alias("call_type"),
+        mapped.alias("call_type"),
         F.floor("value").cast("long").alias("duration"),
     )
 
 
-def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_calls(table(spark, sf_dir, "events"))
+def calls(spark: SparkSession, sf_dir: str, *states: str) -> DataFrame:
+    """The call log; with `states` only calls in one of them, filtered on the stored column so that it reaches the scan."""
+    events = table(spark, sf_dir, "events")
+    if states:
+        stored = {target: source for source, target in CALL_STATES.items()}
+        events = events.where(F.col("event_type").isin(*[stored.get(s, s) for s in states]))
+    return as_calls(events)
 
 
 def seq_width(spark: SparkSession, sf_dir: str) -> Column:

@@ -28,8 +28,8 @@ def join_full_outer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _interval_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    signups = calls(spark, sf).where("call_type = 'signup'").select("sid", F.col("seq").alias("login_seq"), F.col("t").alias("login_t"))
-    clicks = calls(spark, sf).where("call_type = 'busy'").select("sid", F.col("seq").alias("click_seq"), F.col("t").alias("click_t"), "call_in")
+    signups = calls(spark, sf, "signup").select("sid", F.col("seq").alias("login_seq"), F.col("t").alias("login_t"))
+    clicks = calls(spark, sf, "busy").select("sid", F.col("seq").alias("click_seq"), F.col("t").alias("click_t"), "call_in")
     return signups, clicks
 
 
@@ -50,9 +50,8 @@ def join_interval_half_open(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _window_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    rows = calls(spark, sf)
-    clicks = rows.where("call_type = 'busy'").select("sid", "ts", F.col("seq").alias("click_seq"), F.col("duration").alias("click_x"))
-    buys = rows.where("call_type = 'success'").select("sid", "ts", F.col("seq").alias("buy_seq"), F.col("duration").alias("buy_x"))
+    clicks = calls(spark, sf, "busy").select("sid", "ts", F.col("seq").alias("click_seq"), F.col("duration").alias("click_x"))
+    buys = calls(spark, sf, "success").select("sid", "ts", F.col("seq").alias("buy_seq"), F.col("duration").alias("buy_x"))
     return joins.windowed(clicks, "ts", "1 day"), joins.windowed(buys, "ts", "1 day")
 
 
@@ -166,7 +165,7 @@ def join_broadcast_map(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _visits(spark: SparkSession, sf: str) -> DataFrame:
-    return calls(spark, sf).where("call_type = 'busy'").select("sid", "t", "seq")
+    return calls(spark, sf, "busy").select("sid", "t", "seq")
 
 
 @query(
@@ -175,7 +174,7 @@ def _visits(spark: SparkSession, sf: str) -> DataFrame:
       ASOF JOIN (SELECT * FROM calls WHERE call_type = 'barring') v ON f.sid = v.sid AND f.t >= v.t"""),
 )
 def join_temporal_function(spark: SparkSession, sf: str) -> DataFrame:
-    prices = calls(spark, sf).where("call_type = 'barring'").select("sid", "t", "seq", F.col("duration").alias("price"))
+    prices = calls(spark, sf, "barring").select("sid", "t", "seq", F.col("duration").alias("price"))
     out = joins.as_of(_visits(spark, sf), prices, ["sid"], "t", ["price"], time_width(spark, sf), tie="seq")
     return out.select("seq", "sid", "t", "price")
 
@@ -188,7 +187,7 @@ def join_temporal_function(spark: SparkSession, sf: str) -> DataFrame:
 )
 def join_temporal_for_system_time(spark: SparkSession, sf: str) -> DataFrame:
     """Versions from a change log; a delete ends the version."""
-    prices = calls(spark, sf).where("call_type IN ('barring', 'fail')").select(
+    prices = calls(spark, sf, "barring", "fail").select(
         "sid", "t", "seq", F.col("duration").alias("price"), (F.col("call_type") == "fail").alias("gone")
     )
     out = joins.as_of(_visits(spark, sf), prices, ["sid"], "t", ["price"], time_width(spark, sf), tie="seq", deleted="gone")
@@ -202,9 +201,8 @@ def join_temporal_for_system_time(spark: SparkSession, sf: str) -> DataFrame:
       UNION ALL SELECT 'no_order' AS alert, sid, seq, t FROM p WHERE NOT EXISTS (SELECT 1 FROM o WHERE p.sid = o.sid AND abs(p.t - o.t) <= {DAY})"""),
 )
 def join_order_pay_timeout(spark: SparkSession, sf: str) -> DataFrame:
-    rows = calls(spark, sf).select("sid", "seq", "t", "call_type")
-    orders = rows.where("call_type = 'busy'").drop("call_type")
-    pays = rows.where("call_type = 'success'").drop("call_type")
+    orders = calls(spark, sf, "busy").select("sid", "seq", "t")
+    pays = calls(spark, sf, "success").select("sid", "seq", "t")
     unpaid = joins.interval(orders, pays, ["sid"], "t", "t", -DAY, DAY, "left_anti")
     no_order = joins.interval(pays, orders, ["sid"], "t", "t", -DAY, DAY, "left_anti")
     return unpaid.select(F.lit("unpaid").alias("alert"), "*").unionByName(no_order.select(F.lit("no_order").alias("alert"), "*"))

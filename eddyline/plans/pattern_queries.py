@@ -57,7 +57,8 @@ def cep_followed_by(spark: SparkSession, sf: str) -> DataFrame:
       WHERE a.call_type = 'busy' AND c.call_type = 'success' AND c.t - a.t < {4 * DAY}"""),
 )
 def cep_followed_by_any(spark: SparkSession, sf: str) -> DataFrame:
-    return patterns.followed_by_any(_rows(spark, sf), "sid", "seq", "t", _is("busy"), _is("success"), 4 * DAY)
+    rows = calls(spark, sf, "busy", "success").select("sid", "seq", "t", "call_type")
+    return patterns.followed_by_any(rows, "sid", "seq", "t", _is("busy"), _is("success"), 4 * DAY)
 
 
 @query(
@@ -92,7 +93,8 @@ def cep_timeout_side(spark: SparkSession, sf: str) -> DataFrame:
       FROM calls WHERE call_type = 'fail' WINDOW w AS (PARTITION BY sid ORDER BY seq)) WHERE t3 - t < {4 * DAY}"""),
 )
 def cep_times_within(spark: SparkSession, sf: str) -> DataFrame:
-    return patterns.times_within(_rows(spark, sf), "sid", "seq", "t", _is("fail"), 3, 4 * DAY, seq_width(spark, sf))
+    fails = calls(spark, sf, "fail").select("sid", "seq", "t", "call_type")
+    return patterns.times_within(fails, "sid", "seq", "t", _is("fail"), 3, 4 * DAY, seq_width(spark, sf))
 
 
 @query(

@@ -79,7 +79,7 @@ FILTER_AGG_SQL = calls_sql("SELECT sid, CAST(sum(duration) AS BIGINT) AS total F
 @query("filter_and_agg", FILTER_AGG_SQL)
 def filter_and_agg(spark: SparkSession, sf: str) -> DataFrame:
     """SQL over a DataFrame whose filter was written with the DataFrame API."""
-    wanted = calls(spark, sf).where((F.col("call_type") == "success") & (F.col("duration") > 10))
+    wanted = calls(spark, sf, "success").where(F.col("duration") > 10)
     return spark.sql("SELECT sid, sum(duration) AS total FROM {wanted} GROUP BY sid", wanted=wanted)
 
 
@@ -103,12 +103,6 @@ def nested_construct_access(spark: SparkSession, sf: str) -> DataFrame:
     return nested.select("rk", F.col("cf1.c_name").alias("name"), (F.col("cf2.c_acctbal") + 1).alias("next_balance"))
 
 
-@query("describe_schema")
-def describe_schema(spark: SparkSession, sf: str) -> DataFrame:
-    table(spark, sf, "events").createOrReplaceTempView("described_events")
-    return spark.sql("DESCRIBE described_events").select("col_name", "data_type")
-
-
 @query("view_round_trip", "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(value AS DOUBLE) AS value FROM events WHERE value > 10")
 def view_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     table(spark, sf, "events").createOrReplaceTempView("round_trip")

@@ -106,8 +106,7 @@ def late_side_output(spark: SparkSession, sf: str) -> DataFrame:
 )
 def wm_multi_input(spark: SparkSession, sf: str) -> DataFrame:
     """Two inputs merged; a window has fired once the slower input's watermark has passed its end."""
-    both = calls(spark, sf).select("t", "call_type")
-    busy, success = both.where("call_type = 'busy'"), both.where("call_type = 'success'")
+    busy, success = [calls(spark, sf, state).select("t", "call_type") for state in ("busy", "success")]
     slower = F.least(busy.agg(F.max("t")).scalar(), success.agg(F.max("t")).scalar()) - DELAY - 1
     start = F.col("t") - F.pmod(F.col("t"), F.lit(DAY))
     counts = busy.unionByName(success).groupBy(start.alias("t_start")).agg(

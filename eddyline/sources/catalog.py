@@ -30,3 +30,9 @@ def read_stream(spark: SparkSession, name: str) -> DataFrame:
 def new_partitions(spark: SparkSession, path: str, schema: StructType, partition: str, start: str | int) -> DataFrame:
     """Follow a partitioned table: rows of partitions from `start` on, including ones added later."""
     return spark.readStream.schema(schema).parquet(path).where(F.col(partition) >= start)
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """Column names and types of a table as rows."""
+    df.createOrReplaceTempView("described")
+    return df.sparkSession.sql("DESCRIBE described").select("col_name", "data_type")

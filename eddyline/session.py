@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,12 +34,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"eddyline-{application}-")
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the folder all executors share (`spark.checkpoint.dir`)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="eddyline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        base = _own_folder(spark.conf.get("spark.app.id"))
     return f"{base.rstrip('/')}/eddyline/{label}-{uuid.uuid4().hex}"
 
 

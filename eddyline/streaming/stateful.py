@@ -216,6 +216,48 @@ class Timeouts(StatefulProcessor):
         pass
 
 
+class PartnerAlert(StatefulProcessor):
+    """Rows of two kinds that find no row of the other kind at most `within` away: (sid, seq, alert_t).
+
+    A row stays in state until `within` has passed, so the state covers one such span per key.
+    """
+
+    def __init__(self, left: str, right: str, within: int) -> None:
+        self.other = {left: right, right: left}
+        self.within = within
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "seq LONG", "t LONG, kind STRING, paired BOOLEAN")
+
+    def _due(self, t: int) -> int:
+        return (t + self.within) // 1000 + 1
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        for r in _in_order(rows):
+            wanted, paired = self.other.get(r["call_type"]), False
+            if wanted is None:
+                continue
+            for (seq,), (t, kind, done) in list(self.seen.iterator()):
+                if kind == wanted and abs(r["t"] - t) <= self.within:
+                    paired = True
+                    if not done:
+                        self.seen.updateValue((seq,), (t, kind, True))
+            self.seen.updateValue((r["seq"],), (r["t"], r["call_type"], paired))
+            self.handle.registerTimer(self._due(r["t"]))
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        for (seq,), (t, _, paired) in list(self.seen.iterator()):
+            if self._due(t) <= expiredTimerInfo.getExpiryTimeInMs():
+                self.seen.removeKey((seq,))
+                if not paired:
+                    yield Row(sid=key[0], seq=seq, alert_t=t + self.within)
+
+    def close(self) -> None:
+        pass
+
+
 class ExpiringTotal(StatefulProcessor):
     """Running total that starts again after `ttl` microseconds without a row: (sid, seq, total)."""
 

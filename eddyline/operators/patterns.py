@@ -265,16 +265,16 @@ def reluctant(
         "_last_a": ("last", F.when(F.col("_a"), seq)),
         "_not_b": ("last", F.when(~F.col("_b"), seq)),
         "_prev_c": ("last", F.when(F.col("_c"), F.struct(seq.alias("seq"), F.col("_a").alias("a")))),
+        "_before": ("sum", F.col("_c").cast("long")),
     }
-    ends = cut(running(rows, [key], [order], looks, width, exclusive=True).where("_c"))
+    ends = running(rows, [key], [order], looks, width, exclusive=True).where("_c")
     floor = F.coalesce(F.col("_not_b"), F.lit(-(2**63)))
     prev = F.coalesce(F.col("_prev_c.seq"), F.lit(-(2**63)))
     own_start = (F.col("_last_a") > prev) & (F.col("_last_a") >= floor)
     from_prev = F.coalesce(F.col("_prev_c.a"), F.lit(False)) & (prev >= floor)
     decided = F.when(_flag(own_start), 1).when(~from_prev, 0)
-    numbered = cut(
-        running(ends.withColumn("_decided", decided), [key], [order], {"_no": ("sum", F.lit(1).cast("long"))}, width)
-    )
+    number = F.coalesce(F.col("_before"), F.lit(0))
+    numbered = cut(ends.select(key, order, *measures, number.alias("_no"), decided.alias("_decided")))
     fixed = F.when(F.col("_decided").isNotNull(), F.struct(F.col("_no").alias("no"), F.col("_decided").alias("v")))
     known = running(numbered, [key], [order], {"_fixed": ("last", fixed)}, width)
     matched = F.pmod(F.col("_fixed.v") + F.col("_no") - F.col("_fixed.no"), F.lit(2)) == 1
@@ -289,34 +289,21 @@ def average_below(df: DataFrame, key: str, order: str, value: str, limit: int, w
     breaking rows are the running maxima of Q (starting from 0), found by a running sum and a running maximum.
     """
     rows = df.select(key, order, F.col(value).cast("long").alias("_x"))
-    one = F.lit(1).cast("long")
-    sums = cut(running(rows, [key], [order], {"_p": ("sum", F.col("_x")), "_no": ("sum", one)}, width))
-    q = F.col("_p") - F.col("_no") * limit
-    tops = cut(running(sums.withColumn("_q", q), [key], [order], {"_top": ("max", F.col("_q"))}, width, exclusive=True))
-    breaks = F.col("_q") >= F.greatest(F.coalesce(F.col("_top"), F.lit(0)), F.lit(0))
-    # what a row needs of its predecessors: the last breaking row, the first row after it and the row just before
-    marked = with_neighbours(
-        tops.withColumn("_break", breaks), [key], [order], ["_p", "_no", "_break"], width, before=1
-    )
-    w = block_window([key], [order])
-    prev = F.lag(F.struct(F.col(order).alias("seq"), "_p", "_no", F.col("_break").alias("brk"))).over(w)
-    near = own_rows(marked.withColumn("_prev", prev))
-    opens = F.col("_prev").isNull() | F.col("_prev.brk")
-    start = F.when(
-        opens,
-        F.struct(
-            F.col(order).alias("seq"),
-            F.coalesce(F.col("_prev._p"), F.lit(0)).alias("p"),
-            F.coalesce(F.col("_prev._no"), F.lit(0)).alias("no"),
-        ),
-    )
-    near = cut(near.withColumn("_open", start))
-    runs = running(near, [key], [order], {"_start": ("last", F.col("_open"))}, width)
-    return runs.where(F.col("_break") & (F.col("_start.seq") < F.col(order))).select(
-        key,
-        F.col("_start.seq").alias("start_seq"),
-        F.col("_prev.seq").alias("last_seq"),
-        F.col(order).alias("end_seq"),
-        (F.col("_prev._p") - F.col("_start.p")).alias("total"),
-        (F.col("_prev._no") - F.col("_start.no")).alias("n"),
+    before = {"_p": ("sum", F.col("_x")), "_no": ("sum", F.lit(1).cast("long")), "_prev": ("last", F.col(order))}
+    sums = running(rows, [key], [order], before, width, exclusive=True)
+    q = F.coalesce("_p", F.lit(0)) + F.col("_x") - (F.coalesce("_no", F.lit(0)) + 1) * limit
+    levels = cut(sums.select(key, order, "_x", "_prev", q.alias("_q")))
+    tops = running(levels, [key], [order], {"_top": ("max", F.col("_q"))}, width, exclusive=True)
+    breaks = F.col("_q") >= F.greatest(F.coalesce("_top", F.lit(0)), F.lit(0))
+    marked = cut(tops.select(key, order, "_x", "_prev", breaks.alias("_break")))
+    # rows between two breaking rows, the later one included, share the sequence of the earlier one
+    run_id = {"_run": ("last", F.when(F.col("_break"), F.col(order)))}
+    runs = running(marked, [key], [order], run_id, width, exclusive=True).groupBy(key, "_run").agg(
+        F.min(order).alias("start_seq"),
+        F.max_by("_prev", order).alias("last_seq"),
+        F.max(order).alias("end_seq"),
+        (F.sum("_x") - F.max_by("_x", order)).alias("total"),
+        (F.count(F.lit(1)) - 1).alias("n"),
+        F.max_by("_break", order).alias("_closed"),
     )
+    return runs.where(F.col("_closed") & (F.col("n") > 0)).select(key, "start_seq", "last_seq", "end_seq", "total", "n")

@@ -20,11 +20,14 @@ def gap_to_previous(df: DataFrame, key: str, order: str, t: str, width: Width, o
 
 def expiring_total(df: DataFrame, key: str, order: str, t: str, value: str, ttl: int, width: Width, out: str = "total") -> DataFrame:
     """Running total per key that starts again when the key was silent for `ttl` or longer."""
-    gaps = gap_to_previous(df.select(*dict.fromkeys([key, order, t, value])), key, order, t, width, out="_gap")
-    fresh = F.coalesce(F.col("_gap") >= ttl, F.lit(True))
-    sums = cut(running(cut(gaps.withColumn("_new", fresh)), [key], [order], {"_sum": ("sum", F.col(value))}, width))
-    base = F.when(F.col("_new"), F.col("_sum") - F.col(value))
-    kept = running(sums, [key], [order], {"_base": ("last", base)}, width)
+    rows = df.select(*dict.fromkeys([key, order, t, value]))
+    before = {"_last": ("last", F.col(t)), "_sum": ("sum", F.col(value))}
+    seen = running(rows, [key], [order], before, width, exclusive=True)
+    so_far = F.coalesce("_sum", F.lit(0))
+    fresh = F.coalesce(F.col(t) - F.col("_last") >= ttl, F.lit(True))
+    # a total is the running sum minus the running sum where it last started again
+    sums = cut(seen.select(*rows.columns, (so_far + F.col(value)).alias("_sum"), F.when(fresh, so_far).alias("_start")))
+    kept = running(sums, [key], [order], {"_base": ("last", F.col("_start"))}, width)
     return kept.withColumn(out, F.col("_sum") - F.col("_base")).select(key, order, t, value, out)
 
 

@@ -3,7 +3,8 @@
 They are neither tumbling nor session windows: where a window starts depends on all earlier ones. Each
 block of a key's rows is therefore summarised as a step function "no window can open before time d on entry
 -> nor before time e on exit"; the functions are chained per key, and then every block places its windows on its own.
-Blocks are independent tasks in the two heavy passes; the chaining pass only sees a few steps per block.
+Blocks are independent groups in the two heavy passes. The chaining pass sees the steps only: windows that start
+apart soon fall together, so a block of k windows has about 2 / k times as many steps as a window has points.
 """
 
 from __future__ import annotations
@@ -16,10 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eddyline.operators.blocks import Width, block_start
+from eddyline.operators.blocks import block_start
 
 NEVER = -(2**62)
-GroupFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[pd.DataFrame]:
@@ -44,7 +44,7 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterat
         yield pd.concat(pending, ignore_index=True)
 
 
-def _per_group(df: DataFrame, keys: Sequence[str], group: Sequence[str], order: Sequence[str], fn: Callable, schema: T.StructType) -> DataFrame:
+def _per_group(df: DataFrame, keys: Sequence[str], group: Sequence[str], order: Sequence[str | Column], fn: Callable, schema: T.StructType) -> DataFrame:
     """Hash-distribute by `keys`, sort, and hand whole groups (many at a time) to `fn`, one call per task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,16 +118,19 @@ def _chain(keys: Sequence[str]) -> Callable:
 
 
 def _place(keys: Sequence[str], length: int) -> Callable:
+    """Windows of whole blocks; the first row of each block is not a point but carries the block's deadline."""
     group = [*keys, "_block"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
+            marks = pdf["_mark"].to_numpy()
+            deadlines = pdf["_t"].to_numpy()[marks]
+            pdf = pdf[~marks]
             g, t, offset, axis, nxt = _jumps(pdf, group, length)
             n = len(t)
-            deadline = pdf["_deadline"].to_numpy().astype(np.int64)
             starts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
             width = offset.max() + length + 1
-            begin = np.clip(deadline[starts] - (t[starts] - offset[starts]), 0, width - 1)
+            begin = np.clip(deadlines - (t[starts] - offset[starts]), 0, width - 1)
             current = np.searchsorted(axis, g[starts] * width + begin)
             ends = np.r_[starts[1:], n]
             current = current[current < ends]
@@ -139,19 +142,26 @@ def _place(keys: Sequence[str], length: int) -> Callable:
             source = np.maximum.accumulate(np.where(opened, np.arange(n), -1))
             own = (source >= 0) & (g[source] == g)
             out = pdf[[*keys, "_x", "_n"]].copy()
-            out["_anchor"] = np.where(own, t[source], deadline - length)
+            out["_anchor"] = np.where(own, t[source], deadlines[g] - length)
             yield out.groupby([*keys, "_anchor"], sort=False, dropna=False, as_index=False)[["_x", "_n"]].sum()
 
     return run
 
 
-def anchored_windows(df: DataFrame, keys: Sequence[str], t: str, length: int, value: Column, width: Width) -> DataFrame:
+def block_width(length: int) -> int:
+    """Blocks of up to 64 windows, as long as such a block has no more than eight million ticks."""
+    return max(4, min(64, 8_000_000 // length)) * length
+
+
+def anchored_windows(df: DataFrame, keys: Sequence[str], t: str, length: int, value: Column, width: int | None = None) -> DataFrame:
     """(keys, anchor, fire_at, total, n) for windows [anchor, anchor + length) on an integer time column.
 
-    `value` must be an integer; keys must not be null. The width is raised to eight window lengths.
+    Rows of one tick of the time column are summed first, so whatever the number of rows, a key has at most one point per
+    tick and a block at most `width` points. Choose the tick to suit the window: milliseconds for seconds, seconds
+    for days. `value` must be an integer; keys must not be null.
     """
     keys = list(keys)
-    wide = F.greatest(width if isinstance(width, Column) else F.lit(width), F.lit(8 * length)).cast("long")
+    wide = max(width or block_width(length), length)
     points = (
         df.groupBy(*keys, F.col(t).cast("long").alias("_t"))
         .agg(F.sum(value).cast("long").alias("_x"), F.count(F.lit(1)).alias("_n"))
@@ -166,7 +176,11 @@ def anchored_windows(df: DataFrame, keys: Sequence[str], t: str, length: int, va
     group = [*keys, "_block"]
     steps = _per_group(points.select(*group, "_t"), group, group, ["_t"], _steps(keys, length), schema("_block", "_entry", "_exit"))
     entries = _per_group(steps, keys, group, ["_block", "_entry"], _chain(keys), schema("_block", "_deadline"))
-    placed = _per_group(points.join(entries, group), group, group, ["_t"], _place(keys, length), schema("_anchor", "_x", "_n"))
+    marks = entries.select(
+        *group, F.col("_deadline").alias("_t"), F.lit(0).cast("long").alias("_x"), F.lit(0).cast("long").alias("_n"), F.lit(True).alias("_mark")
+    )
+    marked = points.withColumn("_mark", F.lit(False)).unionByName(marks)
+    placed = _per_group(marked, group, group, [F.desc("_mark"), "_t"], _place(keys, length), schema("_anchor", "_x", "_n"))
     return (
         placed.groupBy(*keys, F.col("_anchor").alias("anchor"))
         .agg(F.sum("_x").alias("total"), F.sum("_n").alias("n"))

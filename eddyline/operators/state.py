@@ -32,12 +32,12 @@ def expiring_total(df: DataFrame, key: str, order: str, t: str, value: str, ttl:
 
 
 def silent_failures(
-    df: DataFrame, key: str, order: str, t: str, failed: Column, timeout: int, width: Width, block: Width
+    df: DataFrame, key: str, order: str, t: str, failed: Column, timeout: int, width: Width, block: int | None = None
 ) -> DataFrame:
     """Alerts (key, fail_t, alert_t): the first failure arms a timer, any other row disarms it, firing re-arms on the next failure.
 
     A stretch of failures is named by the row that ends it; the timers inside a stretch are anchored windows.
-    `width` cuts the order column, `block` the time column.
+    `width` cuts the order column; time is in ticks as for anchored windows, with `block` ticks per block.
     """
     ok = F.coalesce(failed, F.lit(False))
     end = F.when(~ok, F.struct(F.col(order).alias("seq"), F.col(t).alias("t")))

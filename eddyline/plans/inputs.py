@@ -54,6 +54,11 @@ def calls(spark: SparkSession, sf_dir: str, *states: str) -> DataFrame:
     return as_calls(events)
 
 
+def in_seconds(calls: DataFrame) -> DataFrame:
+    """Time in whole seconds, the tick for anchored windows of hours or days."""
+    return calls.withColumn("t", F.floor(F.col("t") / SECOND).cast("long"))
+
+
 def seq_width(spark: SparkSession, sf_dir: str) -> Column:
     return auto_width(table(spark, sf_dir, "events"), "event_id")
 

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from eddyline.operators import aggregates, anchored, blocks, changelog, state
 from eddyline.plans.catalog import query
-from eddyline.plans.inputs import DAY, HOUR, calls, calls_sql, seq_width, table, time_width
-from eddyline.plans.windows import anchored_sql
+from eddyline.plans.inputs import HOUR, SECOND, calls, calls_sql, in_seconds, seq_width, table
+from eddyline.plans.windows import DAY_SECONDS, anchored_sql
 
 
 @query("state_value_gap", calls_sql("""SELECT seq, sid, gap FROM (SELECT *, t - lag(t) OVER (PARTITION BY sid ORDER BY seq) AS gap FROM calls)
@@ -20,14 +20,14 @@ def state_value_gap(spark: SparkSession, sf: str) -> DataFrame:
     return gaps.where("gap IS NOT NULL").select("seq", "sid", "gap")
 
 
-@query("state_list_timer", anchored_sql(4 * DAY))
+@query("state_list_timer", anchored_sql(4 * DAY_SECONDS))
 def state_list_timer(spark: SparkSession, sf: str) -> DataFrame:
-    return anchored.anchored_windows(calls(spark, sf), ["sid"], "t", 4 * DAY, F.col("duration"), time_width(spark, sf))
+    return anchored.anchored_windows(in_seconds(calls(spark, sf)), ["sid"], "t", 4 * DAY_SECONDS, F.col("duration"))
 
 
-@query("state_reducing_timer", anchored_sql(2 * DAY))
+@query("state_reducing_timer", anchored_sql(2 * DAY_SECONDS))
 def state_reducing_timer(spark: SparkSession, sf: str) -> DataFrame:
-    return anchored.anchored_windows(calls(spark, sf), ["sid"], "t", 2 * DAY, F.col("duration"), time_width(spark, sf))
+    return anchored.anchored_windows(in_seconds(calls(spark, sf)), ["sid"], "t", 2 * DAY_SECONDS, F.col("duration"))
 
 
 @query(
@@ -74,26 +74,28 @@ def state_ttl_sql(spark: SparkSession, sf: str) -> DataFrame:
 
 
 FAR = 2**62
+HALF_DAY = 12 * HOUR // SECOND
 
 
 @query(
     "timer_fail_alert",
     calls_sql(
-        f""", f AS (SELECT sid, t, call_type, coalesce(min(CASE WHEN call_type <> 'fail' THEN t END) OVER (PARTITION BY sid ORDER BY seq
-          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), {FAR}) AS stop FROM calls),
-      k AS (SELECT sid, t, stop FROM f WHERE call_type = 'fail'),
-      a AS (SELECT sid, stop, min(t) AS anchor FROM k GROUP BY sid, stop
+        f""", s AS (SELECT sid, seq, t // {SECOND} AS t, call_type FROM calls),
+      f AS (SELECT sid, t, call_type, coalesce(min(CASE WHEN call_type <> 'fail' THEN seq END) OVER w, {FAR}) AS stop,
+        coalesce(min(CASE WHEN call_type <> 'fail' THEN t END) OVER w, {FAR}) AS stop_t
+        FROM s WINDOW w AS (PARTITION BY sid ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+      k AS (SELECT sid, t, stop, stop_t FROM f WHERE call_type = 'fail'),
+      a AS (SELECT sid, stop, stop_t, min(t) AS anchor FROM k GROUP BY sid, stop, stop_t
         UNION ALL
-        SELECT a.sid, a.stop, (SELECT min(k.t) FROM k WHERE k.sid = a.sid AND k.stop = a.stop AND k.t >= a.anchor + {12 * HOUR})
+        SELECT a.sid, a.stop, a.stop_t, (SELECT min(k.t) FROM k WHERE k.sid = a.sid AND k.stop = a.stop AND k.t >= a.anchor + {HALF_DAY})
         FROM a WHERE a.anchor IS NOT NULL)
-      SELECT sid, anchor AS fail_t, anchor + {12 * HOUR} AS alert_t FROM a WHERE anchor + {12 * HOUR} < stop""",
+      SELECT sid, anchor AS fail_t, anchor + {HALF_DAY} AS alert_t FROM a WHERE anchor + {HALF_DAY} < stop_t""",
         recursive=True,
     ),
 )
 def timer_fail_alert(spark: SparkSession, sf: str) -> DataFrame:
-    return state.silent_failures(
-        calls(spark, sf), "sid", "seq", "t", F.col("call_type") == "fail", 12 * HOUR, seq_width(spark, sf), time_width(spark, sf)
-    )
+    rows = in_seconds(calls(spark, sf))
+    return state.silent_failures(rows, "sid", "seq", "t", F.col("call_type") == "fail", HALF_DAY, seq_width(spark, sf))
 
 
 # change log bound to the events: signup creates, error deletes, everything else updates

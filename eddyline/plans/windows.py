@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eddyline.functions.udfs import integer_average
 from eddyline.operators import anchored, windows
 from eddyline.plans.catalog import query
-from eddyline.plans.inputs import DAY, HOUR, calls, calls_sql, seq_width, time_width, us_to_ts
+from eddyline.plans.inputs import DAY, HOUR, SECOND, calls, calls_sql, in_seconds, seq_width, time_width, us_to_ts
 from eddyline.plans.times import LATE_SQL, replayed
 
 
@@ -170,22 +170,33 @@ def win_count_slide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anchored_sql(length: int, value: str = "duration", source: str = "calls", extra: str = "") -> str:
-    """Anchors by recursion: each next anchor is the first row at or after the end of the window before."""
+    """Anchors by recursion, in whole seconds: each next anchor is the first row at or after the end of the window before."""
     return calls_sql(
-        f"""{extra}, a AS (
-        SELECT sid, min(t) AS anchor FROM {source} GROUP BY sid
+        f"""{extra}, p AS (SELECT sid, t // {SECOND} AS t, {value} AS x FROM {source}), a AS (
+        SELECT sid, min(t) AS anchor FROM p GROUP BY sid
         UNION ALL
-        SELECT a.sid, (SELECT min(c.t) FROM {source} c WHERE c.sid = a.sid AND c.t >= a.anchor + {length}) AS anchor
+        SELECT a.sid, (SELECT min(p.t) FROM p WHERE p.sid = a.sid AND p.t >= a.anchor + {length}) AS anchor
         FROM a WHERE a.anchor IS NOT NULL)
-      SELECT a.sid, a.anchor, a.anchor + {length} AS fire_at, CAST(sum({value}) AS BIGINT) AS total, count(*) AS n
-      FROM a JOIN {source} c ON c.sid = a.sid AND c.t >= a.anchor AND c.t < a.anchor + {length} GROUP BY ALL""",
+      SELECT a.sid, a.anchor, a.anchor + {length} AS fire_at, CAST(sum(x) AS BIGINT) AS total, count(*) AS n
+      FROM a JOIN p ON p.sid = a.sid AND p.t >= a.anchor AND p.t < a.anchor + {length} GROUP BY ALL""",
         recursive=True,
     )
 
 
-@query("win_trigger_anchored", anchored_sql(DAY))
+DAY_SECONDS = DAY // SECOND
+
+
+@query("win_trigger_anchored", anchored_sql(DAY_SECONDS))
 def win_trigger_anchored(spark: SparkSession, sf: str) -> DataFrame:
-    return anchored.anchored_windows(calls(spark, sf), SID, "t", DAY, F.col("duration"), time_width(spark, sf))
+    return anchored.anchored_windows(in_seconds(calls(spark, sf)), SID, "t", DAY_SECONDS, F.col("duration"))
+
+
+@query("win_evict_late", anchored_sql(DAY_SECONDS, "CASE WHEN t < wm THEN 0 ELSE duration END", "late", LATE_SQL))
+def win_evict_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Late rows arm timers but are evicted before the sum."""
+    kept = F.when(F.col("t") < F.col("wm"), 0).otherwise(F.col("duration"))
+    rows = in_seconds(replayed(spark, sf).withColumn("kept", kept))
+    return anchored.anchored_windows(rows, SID, "t", DAY_SECONDS, F.col("kept"))
 
 
 @query("win_trigger_each", calls_sql(f"""SELECT sid, seq, make_timestamp(t - t % {DAY}) AS win_start,
@@ -196,13 +207,6 @@ def win_trigger_each(spark: SparkSession, sf: str) -> DataFrame:
     return calls(spark, sf).select("sid", "seq", w.start.alias("win_start"), w.end.alias("win_end"), F.col("duration").alias("total"))
 
 
-@query("win_evict_late", anchored_sql(DAY, "CASE WHEN t < wm THEN 0 ELSE duration END", "late", LATE_SQL))
-def win_evict_late(spark: SparkSession, sf: str) -> DataFrame:
-    """Late rows arm timers but are evicted before the sum."""
-    value = F.when(F.col("t") < F.col("wm"), 0).otherwise(F.col("duration"))
-    return anchored.anchored_windows(replayed(spark, sf), SID, "t", DAY, value, time_width(spark, sf))
-
-
 @query(
     "win_evict_delta",
     calls_sql(f""", l AS (SELECT *, t - t % {DAY} AS s, last_value(duration) OVER (PARTITION BY sid, t - t % {DAY} ORDER BY seq

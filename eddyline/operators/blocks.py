@@ -1,25 +1,26 @@
 """Ordered per-key logic that does not put a whole key into one task.
 
 A window partitioned by the key alone sends every row of that key to one task, which fails as soon as one
-key holds a large share of the table. Here each key's ordered rows are cut into blocks of the ordering
-column, and windows are partitioned by (key, block):
+key holds a large share of the table. Here the ordered rows of every hot key are cut into blocks of the ordering
+column, and windows are partitioned by (key, block); all other keys are one block each.
 
-* `running` - running aggregates. One small row per (key, block) is aggregated first (map-side partial
-  aggregation), the block totals are accumulated over the blocks of each key, and the total before a block
-  is put in front of its rows as one extra row.
+* `blocked` - assigns the blocks. Keys with more than `HOT_ROWS` rows are hot. There are at most
+  (rows of the table / HOT_ROWS) of them, so their list is broadcast.
+* `running` - running aggregates. Of the hot keys, one small row per (key, block) is aggregated first, the block totals are
+  accumulated over the blocks of each key, and the total before a block is put in front of its rows as one extra row.
 * `with_neighbours` - the n rows before / after each block are copied into it, so that `lag`, `lead` and
   row frames up to n rows are exact.
 * `with_time_context` - rows within a time distance of a block edge are copied into the neighbouring block,
   so that range frames up to that distance are exact.
 
-All three give exactly the result of the single-window form, for every block width.
+All give exactly the result of the single-window form, for every block width.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -27,10 +28,12 @@ from pyspark.sql import types as T
 
 BLOCK = "_block"
 CONTEXT = "_context"
+HOT = "_hot"
+HOT_ROWS = 8_000_000  # more rows than one task should sort
 Width = Column | int
 
 
-def auto_width(base: DataFrame, position: str, target_rows: int = 8_000_000) -> Column:
+def auto_width(base: DataFrame, position: str, target_rows: int = HOT_ROWS) -> Column:
     """Block width under which all keys together have about `target_rows` rows per block.
 
     A lazy scalar subquery over one column of the base table. A block of one key never has more rows than
@@ -46,6 +49,22 @@ def block_start(position: Column, width: Width) -> Column:
     return (position - F.pmod(position, w)).cast("long")
 
 
+def blocked(df: DataFrame, keys: Sequence[str], position: str, width: Width) -> DataFrame:
+    """Add `_block` and `_hot`. Without keys the whole input counts as one hot key."""
+    start = block_start(F.col(position), width)
+    if not keys:
+        return df.withColumns({BLOCK: start, HOT: F.lit(True)})
+    hot = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > HOT_ROWS)
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(HOT))
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    marked = df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{k}" for k in keys])
+    return marked.withColumn(BLOCK, F.when(F.col(HOT), start).otherwise(F.lit(0).cast("long")))
+
+
 def block_window(keys: Sequence[str], order: Sequence[str], reverse: bool = False) -> WindowSpec:
     """Window over the rows of one block of one key, in `order` (all descending when `reverse`)."""
     cols = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
@@ -107,10 +126,10 @@ def running(
     """
     kinds = {name: kind for name, (kind, _) in outputs.items()}
     values = {f"_v_{name}": expr for name, (_, expr) in outputs.items()}
-    rows = df.withColumns({BLOCK: block_start(F.col(order[0]), width), **values})
+    rows = blocked(df, keys, order[0], width).withColumns(values)
 
     # every block of a key needs its entry, also one without a value of its own
-    totals = rows.groupBy(*keys, BLOCK).agg(
+    totals = rows.where(HOT).groupBy(*keys, BLOCK).agg(
         *[
             _fold(kind, F.col(f"_v_{n}"), _place(order), reverse, _fields(rows.schema[f"_v_{n}"].dataType)).alias(f"_v_{n}")
             for n, kind in kinds.items()
@@ -131,7 +150,7 @@ def running(
     return (
         both.select("*", *[_over(kind, F.col(f"_v_{n}"), inside).alias(n) for n, kind in kinds.items()])
         .where(~F.col(CONTEXT))
-        .drop(BLOCK, CONTEXT, *values)
+        .drop(BLOCK, CONTEXT, HOT, *values)
     )
 
 
@@ -149,7 +168,7 @@ def with_neighbours(
     Copies carry only `payload` and have `_context` set; compute over `block_window(keys, order)`, then call
     `own_rows`.
     """
-    rows = df.withColumn(BLOCK, block_start(F.col(order[0]), width))
+    rows = blocked(df, keys, order[0], width)
     parts = [rows.withColumn(CONTEXT, F.lit(False))]
     if before:
         parts.append(_edge_rows(rows, keys, order, payload, before, reverse=False))
@@ -166,7 +185,7 @@ def _edge_rows(
 ) -> DataFrame:
     """For every block, the n rows of the key just outside it (before it, or after it when `reverse`)."""
     names = [c for c in dict.fromkeys([*order, *payload]) if c not in keys]
-    slim = rows.select(*keys, BLOCK, *names)
+    slim = rows.where(HOT).select(*keys, BLOCK, *names)
     if n == 1:
         # the outermost row of each block by partial aggregation, without sorting the rows
         edge = slim.groupBy(*keys, BLOCK).agg(F.array(_latest(F.struct(*names), names, _place(order), reverse)).alias("_edge"))
@@ -198,19 +217,16 @@ def with_time_context(
     """
     w = F.greatest(width if isinstance(width, Column) else F.lit(width), F.lit(before), F.lit(after), F.lit(1))
     p = F.col(position)
+    rows = blocked(df.withColumn("_w", w.cast("long")), keys, position, F.col("_w"))
+    first, last = block_start(p - after, F.col("_w")), block_start(p + before, F.col("_w"))
+    needed = F.when(F.col(HOT), F.sequence(first, last, F.col("_w"))).otherwise(F.array(F.col(BLOCK)))
     return (
-        df.withColumn("_w", w.cast("long"))
-        .withColumn("_own", block_start(p, F.col("_w")))
-        .withColumn(
-            BLOCK,
-            F.explode(
-                F.sequence(block_start(p - after, F.col("_w")), block_start(p + before, F.col("_w")), F.col("_w"))
-            ),
-        )
+        rows.withColumn("_own", F.col(BLOCK))
+        .withColumn(BLOCK, F.explode(needed))
         .withColumn(CONTEXT, F.col(BLOCK) != F.col("_own"))
         .drop("_w", "_own")
     )
 
 
 def own_rows(df: DataFrame) -> DataFrame:
-    return df.where(~F.col(CONTEXT)).drop(BLOCK, CONTEXT)
+    return df.where(~F.col(CONTEXT)).drop(BLOCK, CONTEXT, HOT)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.operators.blocks import BLOCK, Width, block_start, running
+from eddyline.operators.blocks import BLOCK, Width, block_start, blocked, running
 
 
 def tumble(df: DataFrame, keys: Sequence[str], ts: str, size: str, *aggs: Column) -> DataFrame:
@@ -31,13 +31,13 @@ def sessions(df: DataFrame, keys: Sequence[str], t: str, gap: Column, value: Col
     """Session windows on an integer time column: rows (keys, t_start, t_end, total, n).
 
     An event at exactly the gap distance joins the session. `gap` may depend on the row. Sessions are first
-    built inside (key, block), so a hot key is spread over its blocks; the partial sessions, which are at
-    least one gap or one block apart, are then merged per key.
+    built inside (key, block), so a hot key is spread over its blocks; the partial sessions, of which a key has at most one per
+    gap and block, are then merged per key.
     """
     gap_interval = F.make_interval(secs=((F.col("_gap_end") - F.col("_t")) / 1_000_000).cast("decimal(18,6)"))
+    rows = df.select(*keys, F.col(t).alias("_t"), (F.col(t) + gap).alias("_gap_end"), value.alias("_x"))
     parts = (
-        df.select(*keys, F.col(t).alias("_t"), (F.col(t) + gap).alias("_gap_end"), value.alias("_x"))
-        .withColumn(BLOCK, block_start(F.col("_t"), width))
+        blocked(rows, keys, "_t", width)
         .withColumn("_at", F.timestamp_micros("_t"))
         .groupBy(*keys, BLOCK, F.session_window("_at", gap_interval).alias("_s"))
         .agg(F.min("_t").alias("_from"), F.max("_gap_end").alias("_to"), F.sum("_x").alias("_total"), F.count(F.lit(1)).alias("_n"))

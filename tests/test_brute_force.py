@@ -8,9 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import rows
+from eddyline.operators import blocks
 from eddyline.operators import anchored, patterns, state, windows
 
 
+@pytest.fixture(autouse=True)
+def every_key_is_hot(monkeypatch):
+    monkeypatch.setattr(blocks, "HOT_ROWS", 0)
+
+
 def events(seed: int, n: int = 220, keys: int = 4, dense: int = 6) -> list[tuple]:
     """One key holds half of the rows."""
     rnd, t, out = random.Random(seed), 0, []

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import canonical
+from eddyline.operators import blocks
 from eddyline.plans import inputs
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -34,7 +35,9 @@ def test_oracle(spark, sf, oracle, name):
 
 @pytest.mark.parametrize("name", [n for n in sorted(ORACLES) if n.startswith(BLOCKED)])
 def test_oracle_with_many_blocks(spark, sf, oracle, name, monkeypatch):
+    """About half of the users count as hot."""
     widths = {"event_id": 53, "t": 5 * inputs.HOUR}
+    monkeypatch.setattr(blocks, "HOT_ROWS", 66)
     monkeypatch.setattr(inputs, "auto_width", lambda base, position, **_: widths[position])
     check(spark, sf, oracle, name)
 

@@ -75,7 +75,13 @@ def test_blocks_of_a_hot_key_are_bounded(spark, skewed):
         assert skewed.where("k = 0").count() > 10_000
 
 
-def test_hot_key_results_do_not_depend_on_blocks(spark, skewed):
+def test_only_hot_keys_are_cut(skewed, monkeypatch):
+    monkeypatch.setattr(blocks, "HOT_ROWS", 5000)
+    cut = blocks.blocked(skewed, ["k"], "seq", 1000).groupBy("k").agg(F.count_distinct("_block").alias("n")).where("n > 1")
+    assert [r.k for r in cut.collect()] == [0]
+
+
+def test_hot_key_results_do_not_depend_on_blocks(spark, skewed, monkeypatch):
     def digest(df):
         return df.agg(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()[0]
 
@@ -89,7 +95,11 @@ def test_hot_key_results_do_not_depend_on_blocks(spark, skewed):
         versions = skewed.where("x = 2").select("k", "t", F.col("seq").alias("v"))
         yield digest(joins.as_of(facts, versions, ["k"], "t", ["v"], width, tie="v"))
 
-    assert list(results(1_000_000)) == list(results(blocks.auto_width(skewed, "seq", target_rows=500))) == list(results(37))
+    whole = list(results(1_000_000))
+    for hot in (0, 5000):
+        monkeypatch.setattr(blocks, "HOT_ROWS", hot)
+        assert list(results(blocks.auto_width(skewed, "seq", target_rows=500))) == whole
+        assert list(results(37)) == whole
 
 
 def test_empty_input(spark, sf):

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from compare import rows
 from eddyline.functions import udfs
+from eddyline.operators import blocks
 from eddyline.operators import aggregates, changelog, joins, patterns, state, transforms, watermark
 from eddyline.sources import catalog, files
 
+@pytest.fixture(autouse=True)
+def every_key_is_hot(monkeypatch):
+    monkeypatch.setattr(blocks, "HOT_ROWS", 0)
+
+
 CALLS = "sid string, call_out string, call_in string, call_type string, call_time bigint, duration bigint"
 
 

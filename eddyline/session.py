@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +33,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    _ship_package(spark.conf.get("spark.app.id"))
     return spark
 
 
+@cache
+def _ship_package(application: str) -> None:
+    """Hand the package to the executors, whose Python tasks import it; once per application."""
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix=f"eddyline-{application}-")) / "eddyline.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    SparkSession.active().sparkContext.addPyFile(str(archive))
+
+
 @cache
 def _own_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"eddyline-{application}-")

@@ -117,12 +117,14 @@ def running(
     width: Width,
     exclusive: bool = False,
     reverse: bool = False,
+    peers: bool = False,
 ) -> DataFrame:
     """Add running aggregates of each key's rows in `order`.
 
     `outputs` maps a new column to ("sum" | "min" | "max" | "last", expression); "last" keeps the latest
     non-null value. `exclusive` leaves the current row out, `reverse` runs from the end towards the start.
-    `order[0]` must be an integer column; it also defines the blocks.
+    `order[0]` must be an integer column; it also defines the blocks. `peers` includes all rows with the current value of
+    `order[0]`, the only order column then.
     """
     kinds = {name: kind for name, (kind, _) in outputs.items()}
     values = {f"_v_{name}": expr for name, (_, expr) in outputs.items()}
@@ -146,7 +148,13 @@ def running(
     )
     inside = Window.partitionBy(*keys, BLOCK).orderBy(
         F.col(CONTEXT).desc(), *[F.col(c).desc() if reverse else F.col(c).asc() for c in order]
-    ).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    )
+    if peers:
+        # the extra row sorts as the start of its block, where it belongs to every frame
+        both = both.withColumn(order[0], F.coalesce(order[0], BLOCK))
+        inside = Window.partitionBy(*keys, BLOCK).orderBy(order[0]).rangeBetween(Window.unboundedPreceding, 0)
+    else:
+        inside = inside.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     return (
         both.select("*", *[_over(kind, F.col(f"_v_{n}"), inside).alias(n) for n, kind in kinds.items()])
         .where(~F.col(CONTEXT))

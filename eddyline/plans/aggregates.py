@@ -80,7 +80,7 @@ def agg_nested_total(spark: SparkSession, sf: str) -> DataFrame:
 )
 def over_range_time(spark: SparkSession, sf: str) -> DataFrame:
     rows = calls(spark, sf).select("seq", "sid", "t", "duration")
-    out = overs.over_time_range(rows, ["sid"], "t", DAY, time_width(spark, sf), total=F.sum("duration"))
+    out = overs.sums_over_time_range(rows, ["sid"], "t", DAY, time_width(spark, sf), total=F.col("duration"))
     return out.select("seq", "sid", "total")
 
 
@@ -92,8 +92,9 @@ def over_range_time(spark: SparkSession, sf: str) -> DataFrame:
 def over_named_window(spark: SparkSession, sf: str) -> DataFrame:
     """Two aggregates over one window, sharing its sort and shuffle."""
     rows = calls(spark, sf).select("seq", "sid", "t", "duration")
-    out = overs.over_time_range(
-        rows, ["sid"], "t", DAY, time_width(spark, sf), total=F.sum("duration"), n=F.count("duration")
+    counted = F.col("duration").isNotNull().cast("long")
+    out = overs.sums_over_time_range(
+        rows, ["sid"], "t", DAY, time_width(spark, sf), total=F.col("duration"), n=counted
     )
     return out.select("seq", "sid", "total", "n")
 

@@ -157,23 +157,29 @@ def _places(df: DataFrame, key: str) -> DataFrame:
     return per_place.groupBy(key).agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("places"))
 
 
+def _parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("part_key_hash", KEY_PLACES_SQL)
 def part_key_hash(spark: SparkSession, sf: str) -> DataFrame:
-    return _places(distribution.by_key(table(spark, sf, "events").select("user_id"), 16, "user_id"), "user_id")
+    return _places(distribution.by_key(table(spark, sf, "events").select("user_id"), _parts(spark), "user_id"), "user_id")
 
 
-@query("part_custom", "SELECT user_id, count(*) AS n, CAST(1 AS BIGINT) AS places, CAST(user_id % 7 AS INTEGER) AS partition FROM events GROUP BY user_id")
+@query("part_custom", "SELECT user_id, count(*) AS n, CAST(1 AS BIGINT) AS places, CAST(user_id % 64 AS INTEGER) AS partition FROM events GROUP BY user_id")
 def part_custom(spark: SparkSession, sf: str) -> DataFrame:
-    placed = distribution.placement(distribution.by_partitioner(table(spark, sf, "events").select("user_id"), 7, F.col("user_id")))
+    placed = distribution.placement(distribution.by_partitioner(table(spark, sf, "events").select("user_id"), 64, F.col("user_id")))
     per_place = placed.groupBy("user_id", "partition").agg(F.count(F.lit(1)).alias("n"))
     return per_place.groupBy("user_id").agg(F.sum("n").alias("n"), F.count("n").alias("places"), F.max("partition").alias("partition"))
 
 
-def _balance(df: DataFrame, parts: int, tolerance: float) -> DataFrame:
-    """Total rows, and whether the fullest partition holds at most `tolerance` times its fair share."""
+def _balance(df: DataFrame, parts: int) -> DataFrame:
+    """Total rows, and whether the fullest partition has at most half more than its fair share (and 50 rows for small tables)."""
     sizes = distribution.placement(df).groupBy("partition").agg(F.count(F.lit(1)).alias("_n"))
     return sizes.agg(
-        F.sum("_n").alias("n"), (F.max("_n") * parts <= F.sum("_n") * tolerance).alias("even"), (F.count("_n") <= parts).alias("fits")
+        F.sum("_n").alias("n"),
+        (F.max("_n") <= F.sum("_n") / parts * 1.5 + 50).alias("even"),
+        (F.count("_n") <= parts).alias("fits"),
     )
 
 
@@ -182,18 +188,22 @@ BALANCE_SQL = "SELECT count(*) AS n, true AS even, true AS fits FROM events"
 
 @query("part_shuffle_random", BALANCE_SQL)
 def part_shuffle_random(spark: SparkSession, sf: str) -> DataFrame:
-    return _balance(distribution.shuffled(table(spark, sf, "events").select("event_id"), 8, "event_id"), 8, 1.5)
+    n = _parts(spark)
+    return _balance(distribution.shuffled(table(spark, sf, "events").select("event_id"), n, "event_id"), n)
 
 
 @query("part_rebalance", BALANCE_SQL)
 def part_rebalance(spark: SparkSession, sf: str) -> DataFrame:
-    return _balance(distribution.rebalanced(table(spark, sf, "events").select("event_id"), 8), 8, 1.5)
+    n = _parts(spark)
+    return _balance(distribution.rebalanced(table(spark, sf, "events").select("event_id"), n), n)
 
 
 @query("part_rescale", BALANCE_SQL)
 def part_rescale(spark: SparkSession, sf: str) -> DataFrame:
-    six = distribution.rescaled(table(spark, sf, "events").select("event_id"), 6, grow=True)
-    return _balance(distribution.rescaled(six, 3, grow=False), 3, 1.5)
+    """Up to twice n partitions, then down to n without another shuffle."""
+    n = _parts(spark)
+    more = distribution.rescaled(table(spark, sf, "events").select("event_id"), 2 * n, grow=True)
+    return _balance(distribution.rescaled(more, n, grow=False), n)
 
 
 @query("part_global", "SELECT event_type, count(*) AS n, CAST(0 AS INTEGER) AS partition FROM events GROUP BY event_type")

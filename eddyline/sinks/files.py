@@ -88,6 +88,8 @@ class PartitionCommitter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         local = F.from_utc_timestamp(F.col(self.ts), self.zone)
         parts = batch.withColumns({"dt": F.date_format(local, "yyyyMMdd"), "hr": F.date_format(local, "HH")})
+        # rows of one partition together, but a large partition in several tasks
+        parts = parts.hint("rebalance", "dt", "hr")
         parts.write.mode("overwrite").partitionBy("dt", "hr").parquet(f"{self.path}/rows/batch={batch_id}")
         top = batch.agg(F.max(self.ts).alias("seen"))
         top.write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
@@ -104,9 +106,10 @@ class PartitionCommitter:
 
 
 def save_table(df: DataFrame, name: str, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite").option("path", path)
+    """A catalog table at `path`; with partitions, rows of one partition are written together, large ones by several tasks."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite").option("path", path)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 

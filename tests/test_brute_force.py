@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from compare import rows
 from eddyline.operators import blocks
-from eddyline.operators import anchored, patterns, state, windows
+from eddyline.operators import anchored, overs, patterns, state, windows
 
 
 @pytest.fixture(autouse=True)
@@ -184,3 +184,12 @@ def test_expiring_total(spark, width):
             want.append((key, r[0], total))
     got = state.expiring_total(spark.createDataFrame(data, SCHEMA), "sid", "seq", "t", "duration", 8, width)
     assert rows(got, "sid", "seq", "total") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("width", [1, 9, 10_000])
+def test_time_range_sums_include_ties(spark, width):
+    data = events(0)
+    want = [(key, r[0], sum(x[4] for x in rs if r[2] - 4 <= x[2] <= r[2])) for key, rs in by_key(data).items() for r in rs]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(overs.sums_over_time_range(df, ["sid"], "t", 4, width, s=F.col("duration")), "sid", "seq", "s") == sorted(want, key=repr)
+    assert rows(overs.over_time_range(df, ["sid"], "t", 4, width, s=F.sum("duration")), "sid", "seq", "s") == sorted(want, key=repr)

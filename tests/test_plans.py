@@ -90,7 +90,9 @@ def test_hot_key_results_do_not_depend_on_blocks(spark, skewed, monkeypatch):
         yield digest(blocks.running(skewed, ["k"], ["seq"], sums, width))
         yield digest(blocks.running(skewed, ["k"], ["seq"], sums, width, exclusive=True, reverse=True))
         yield digest(overs.over_rows(skewed, ["k"], ["seq"], 3, ["x"], width, s=F.sum("x")))
-        yield digest(overs.over_time_range(skewed, ["k"], "t", 500, width, s=F.sum("x")))
+        frame = digest(overs.over_time_range(skewed, ["k"], "t", 500, width, s=F.sum("x")))
+        assert frame == digest(overs.sums_over_time_range(skewed, ["k"], "t", 500, width, s=F.col("x")))
+        yield frame
         facts = skewed.where("x = 1").select("k", "t", "seq")
         versions = skewed.where("x = 2").select("k", "t", F.col("seq").alias("v"))
         yield digest(joins.as_of(facts, versions, ["k"], "t", ["v"], width, tie="v"))

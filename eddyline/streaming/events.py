@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from eddyline.streaming.run import read_batches
 
 
 def windowed_total(df: DataFrame, key: str, ts: str, size: str, delay: str, value: str) -> DataFrame:
@@ -51,3 +54,36 @@ def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
     lw = left.withWatermark(ts, delay).withColumn("win", F.window(ts, size)).drop(ts)
     rw = right.withWatermark(ts, delay).withColumn("win", F.window(ts, size)).drop(ts)
     return lw.join(rw, [key, "win"], how)
+
+
+def merged_counts(left: DataFrame, right: DataFrame, ts: str, size: str, delay: str) -> DataFrame:
+    """Windowed counts over two inputs, each with its own watermark; the slower input decides when a window closes."""
+    both = left.withWatermark(ts, delay).unionByName(right.withWatermark(ts, delay))
+    w = both.groupBy(F.window(ts, size).alias("_w")).agg(F.count(F.lit(1)).alias("n"))
+    return w.select(F.col("_w.start").alias("win_start"), F.col("_w.end").alias("win_end"), "n")
+
+
+class LateSplitter:
+    """Micro-batch function that keeps rows of closed windows apart instead of dropping them.
+
+    The watermark is the largest time seen in earlier batches minus `delay`. A row is late when its tumbling
+    window ended `lateness` or longer before the watermark. A replayed batch decides the same, because only earlier batches count.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, ts: str, size: str, delay: str, lateness: str) -> None:
+        self.spark, self.path, self.schema, self.ts = spark, path, schema, ts
+        self.size, self.slack = size, F.expr(f"INTERVAL {delay}") + F.expr(f"INTERVAL {lateness}")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        late = F.lit(False)
+        if batch_id > 0:
+            seen = StructType().add("seen", self.schema[self.ts].dataType)
+            marks = read_batches(self.spark, f"{self.path}/marks", seen).where(F.col("batch") < batch_id)
+            limit = marks.agg((F.max("seen") - self.slack).alias("_l")).scalar()
+            late = F.coalesce(F.window(self.ts, self.size).end <= limit, F.lit(False))
+        batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(f"{self.path}/rows/batch={batch_id}")
+        batch.agg(F.max(self.ts).alias("seen")).write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
+
+    def read(self, late: bool) -> DataFrame:
+        layout = StructType([*self.schema.fields]).add("batch", "long").add("late", "boolean")
+        return self.spark.read.schema(layout).parquet(f"{self.path}/rows").where(F.col("late") == late).select(*self.schema.names)

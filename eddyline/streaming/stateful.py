@@ -281,10 +281,13 @@ class ExpiringTotal(StatefulProcessor):
 
 
 class StrictRun(StatefulProcessor):
-    """`times` rows of one state directly after each other, overlapping: (sid, t_first, t_last)."""
+    """`times` rows of one state directly after each other, overlapping: (sid, t_first, t_last).
 
-    def __init__(self, wanted: str, times: int) -> None:
-        self.wanted, self.times = wanted, times
+    On a stream filtered to that state other rows may lie between; `within` then bounds the match.
+    """
+
+    def __init__(self, wanted: str, times: int, within: int | None = None) -> None:
+        self.wanted, self.times, self.within = wanted, times, within
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getValueState("recent", "ts ARRAY<LONG>")
@@ -293,7 +296,7 @@ class StrictRun(StatefulProcessor):
         recent = list(self.recent.get()[0]) if self.recent.exists() else []
         for r in _in_order(rows):
             recent = [*recent, r["t"]][-self.times :] if r["call_type"] == self.wanted else []
-            if len(recent) == self.times:
+            if len(recent) == self.times and (self.within is None or recent[-1] - recent[0] < self.within):
                 yield Row(sid=key[0], t_first=recent[0], t_last=recent[-1])
         self.recent.update((recent,))
 
@@ -301,6 +304,29 @@ class StrictRun(StatefulProcessor):
         pass
 
 
+class GreedyBefore(StatefulProcessor):
+    """`item`+ greedy followed by `end`: (sid, start_seq, n, end_seq) for every item when its next end row arrives."""
+
+    def __init__(self, item: str, end: str) -> None:
+        self.item, self.end = item, end
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.items = handle.getListState("items", "seq LONG")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        for r in _in_order(rows):
+            if r["call_type"] == self.item:
+                self.items.appendValue((r["seq"],))
+            elif r["call_type"] == self.end and self.items.exists():
+                waiting = [seq for (seq,) in self.items.get()]
+                self.items.clear()
+                for i, seq in enumerate(waiting):
+                    yield Row(sid=key[0], start_seq=seq, n=len(waiting) - i, end_seq=r["seq"])
+
+    def close(self) -> None:
+        pass
+
+
 def with_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Watermark plus the integer time `t` the processors use."""
     return stream.withColumn("t", epoch_us(F.col(ts))).withWatermark(ts, delay)

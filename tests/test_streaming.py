@@ -89,6 +89,68 @@ def test_strict_run(live, stored):
     assert rows(got) == rows(want)
 
 
+def test_times_within(live, stored):
+    got = stateful_rows(
+        live.where("call_type = 'fail'"), stateful.StrictRun("fail", 3, 4 * DAY), "sid long, t_first long, t_last long", "times"
+    )
+    want = patterns.times_within(stored, "sid", "seq", "t", F.col("call_type") == "fail", 3, 4 * DAY, 100)
+    assert rows(got) == rows(want, "sid", "start_t", "end_t")
+
+
+def test_greedy_before(live, stored):
+    got = stateful_rows(
+        live, stateful.GreedyBefore("fail", "success"), "sid long, start_seq long, n long, end_seq long", "greedy"
+    )
+    want = patterns.greedy_before(stored, "sid", "seq", "t", F.col("call_type") == "fail", F.col("call_type") == "success", 100)
+    assert rows(got) == rows(want)
+
+
+def test_lookup_on_a_stream(spark, sf, live, stored):
+    people = inputs.table(spark, sf, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name")
+
+    def enriched(calls):
+        return joins.lookup(calls.select("seq", "sid"), people, "sid", "c_custkey", {"c_name": F.lit("not found")})
+
+    assert rows(run.drain(enriched(live), "lookup")) == rows(enriched(stored))
+
+
+def test_slower_input_closes_windows(spark, feed, stored):
+    def side(kind):
+        return stream_queries.stream_calls(spark, feed).where(f"call_type = '{kind}'").select("ts")
+
+    early = side("busy").where("ts < timestamp'2024-01-10'")
+    got = run.drain(events.merged_counts(early, side("success"), "ts", "1 day", "0 seconds"), "merged")
+    top = stored.where("call_type = 'busy' AND ts < timestamp_ntz'2024-01-10'").agg(F.max("t")).first()[0]
+    last = got.agg(F.max(inputs.epoch_us(F.col("win_end")))).first()[0]
+    assert top - DAY < last <= top
+
+
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    """Windows of 5 s, 2 s disorder, 2 s lateness; after the row at 20 windows up to 16 are gone."""
+    schema = spark.createDataFrame([], "t string, ts timestamp").schema
+    sink = events.LateSplitter(spark, str(tmp_path), schema, "ts", "5 seconds", "2 SECONDS", "2 SECONDS")
+    batches = [["01", "06"], ["20", "02"], ["16", "14", "11"], ["40"]]
+    for i in (0, 1, 2, 2, 3):
+        df = spark.createDataFrame([(s, f"2024-01-01 00:00:{s}") for s in batches[i]], "t string, ts string")
+        sink(df.withColumn("ts", F.to_timestamp("ts")), i)
+    assert rows(sink.read(late=True), "t") == [("11",), ("14",)]
+    assert rows(sink.read(late=False), "t") == [("01",), ("02",), ("06",), ("16",), ("20",), ("40",)]
+
+
+def test_allowed_lateness_updates_the_window(spark, tmp_path):
+    """In update mode a window reports again for rows that are late by less than delay plus lateness."""
+    for i, part in enumerate([("01",), ("07",), ("07",), ("03",)]):
+        df = spark.createDataFrame([("a", f"2024-01-01 00:00:{s}", 1) for s in part], "sid string, ts string, duration long")
+        df.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+        for root, _, names in os.walk(f"{tmp_path}/in/{i}"):
+            for n in names:
+                os.utime(os.path.join(root, n), (1_700_000_000 + 10 * i,) * 2)
+    stream = spark.readStream.schema("sid string, ts timestamp, duration long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    totals = events.windowed_total(stream, "sid", "ts", "5 seconds", "4 seconds", "duration")
+    got = run.drain(totals, "lateness", "update", ("sid", "win_start"))
+    assert rows(got.select(F.date_format("win_start", "ss").alias("s"), "total")) == [("00", 2), ("05", 2)]
+
+
 def last_watermark(stored, delay=0):
     return stored.agg(F.max("t")).first()[0] // 1000 * 1000 - delay
 

@@ -7,9 +7,9 @@ import pytest
 import __spark_entry__ as entry
 from compare import canonical
 from eddyline.operators import blocks
-from eddyline.plans import inputs
+from eddyline.plans import catalog, inputs
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 # queries whose plan cuts keys into blocks
 BLOCKED = ("agg_running", "over_", "win_session", "win_count", "win_global", "win_trigger_anchored", "win_evict_late", "wm_p", "late_",

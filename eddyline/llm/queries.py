@@ -1,4 +1,4 @@
 """Importing this module registers every query of the subpackage."""
 
-from eddyline.llm import sharding  # noqa: F401
+from eddyline.llm import quality, sharding, url_filter  # noqa: F401
 from eddyline.llm.registry import ORACLES, QUERIES  # noqa: F401

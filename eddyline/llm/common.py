@@ -52,3 +52,11 @@ def with_position(rows: DataFrame) -> DataFrame:
         F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total"),
     )
     return rows.join(F.broadcast(starts), "_task").withColumn("_position", F.col("_start") + F.col("_at")).drop("_task", "_at", "_start")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on `keys` with null equal to null; the keys appear once, as `left` has them."""
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [left[k].eqNullSafe(right[f"_right_{k}"]) for k in keys]
+    joined = left.join(right, on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*(f"_right_{k}" for k in keys))

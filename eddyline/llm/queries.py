@@ -1,4 +1,4 @@
 """Importing this module registers every query of the subpackage."""
 
-from eddyline.llm import decontaminate, near_dup, packing, pii, quality, secrets, sharding, url_filter  # noqa: F401
+from eddyline.llm import decontaminate, near_dup, packing, pii, quality, secrets, sharding, suffix_dedup, url_filter  # noqa: F401
 from eddyline.llm.registry import ORACLES, QUERIES  # noqa: F401

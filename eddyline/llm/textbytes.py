@@ -86,10 +86,10 @@ class Texts:
 
 
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[Texts]:
-    """A batch of strings in parts of about `size` bytes; a longer text is a part of its own."""
-    texts = texts.cast(pa.large_string())
+    """A batch of strings (or binaries) in parts of about `size` bytes; a longer text is a part of its own."""
+    texts = texts.cast(pa.large_binary())
     if texts.null_count:
-        texts = texts.fill_null("")
+        texts = texts.fill_null(b"")
     if not len(texts):
         return
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]

@@ -25,6 +25,11 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def text_hash(text: Column) -> Column:
+    """Names a text next to its key where keys may repeat; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def numbered(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     """Rows in the global order of `order`, with `_task` and `_at`: the row's number is `_at` plus the rows of all earlier tasks.
 

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import join_null_safe
+from eddyline.llm.common import join_null_safe, text_hash
 from eddyline.llm.components import components
 from eddyline.llm.registry import query, table
 from eddyline.llm.textbytes import WORD_BASE, Texts, mixed, slices, windows
@@ -152,14 +152,10 @@ def sketch(documents: DataFrame, key: str, text: str) -> DataFrame:
                     ["key", "text_hash", "n_shingles", "node", "bands", "slots"],
                 )
 
-    keyed = documents.select(F.col(key).alias("key"), _text_hash(text).alias("text_hash"), F.col(text).alias("text"))
+    keyed = documents.select(F.col(key).alias("key"), text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     return keyed.mapInArrow(run, f"key {kind}, text_hash long, n_shingles long, node binary, bands array<long>, slots binary")
 
 
-def _text_hash(text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-
-
 def full_sets(documents: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """(node, elements) of the classes `wanted` (node, key, text_hash of one document each), from those documents' texts."""
 
@@ -171,7 +167,7 @@ def full_sets(documents: DataFrame, wanted: DataFrame, key: str, text: str) -> D
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([_binary(node_ids(owner, h, part.n), np.ones(part.n, bool)), lists], ["node", "elements"])
 
-    texts = documents.select(F.col(key).alias("key"), _text_hash(text).alias("text_hash"), F.col(text).alias("text"))
+    texts = documents.select(F.col(key).alias("key"), text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     held = join_null_safe(texts, wanted.select("key", "text_hash").distinct(), ["key", "text_hash"]).select("text")
     # equal rows of a document give equal sets
     return held.mapInArrow(run, "node binary, elements array<long>").dropDuplicates(["node"])
@@ -187,7 +183,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of `documents`: key, n_shingles, component_id (the smallest key of its component).
+    """One row per row of `documents`: key, text_hash, n_shingles, component_id (the smallest key of its component) and
+    first_hash (the text_hash of the first row that has it, so key and hash name the component's first row).
 
     Null, empty and blank texts have an empty set and are linked with nothing. Null keys are passed over when the smallest
     is sought; a component of null keys only has a null id. Rows that repeat share a component. Other columns are not read.
@@ -196,7 +193,6 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     held = sketches.where(F.col("node").isNotNull())
     classes = cut(
         held.groupBy("node").agg(
-            F.min("key").alias("least_key"),
             F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("text_hash"))).alias("one"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
@@ -229,11 +225,12 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     if not more.isEmpty():
         groups = cut(components(edges.unionByName(more)), "groups")
 
-    of_class = classes.select("node", "least_key").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ids = of_class.groupBy("root").agg(F.min("least_key").alias("component_id"))
-    named = of_class.select("node", "root").join(ids, "root").select("node", "component_id")
-    found = held.select("key", "n_shingles", "node").join(named, "node").select("key", "n_shingles", "component_id")
-    alone = sketches.where(F.col("node").isNull()).select("key", "n_shingles", F.col("key").alias("component_id"))
+    of_class = classes.select("node", "one").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    firsts = of_class.groupBy("root").agg(F.min("one").alias("first"))
+    named = of_class.select("node", "root").join(firsts, "root").select("node", "first")
+    found = held.select("key", "text_hash", "n_shingles", "node").join(named, "node")
+    found = found.select("key", "text_hash", "n_shingles", F.col("first.key").alias("component_id"), F.col("first.text_hash").alias("first_hash"))
+    alone = sketches.where(F.col("node").isNull()).select("key", "text_hash", "n_shingles", F.col("key").alias("component_id"), F.col("text_hash").alias("first_hash"))
     return found.unionByName(alone)
 
 

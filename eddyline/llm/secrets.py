@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.llm.common import text_hash
 from eddyline.llm.registry import query, table
 from eddyline.llm.spans import find_all, joined
 from eddyline.session import cut
@@ -72,7 +73,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan(documents: DataFrame, owner: Column, repository: Column, key: str = "doc_id", text: str = "text", copied_owners: int = COPIED_OWNERS) -> DataFrame:
-    """One row per row of `documents`: key, spans (SPANS plus n_owners, n_repositories and verdict `live` or `copied`).
+    """One row per row of `documents`: key, text_hash, owner, repository, spans (SPANS plus n_owners, n_repositories and verdict `live` or `copied`).
 
     A null text is empty. Keys, owners and repositories may be null, and keys may repeat: rows are told apart by a number of
     their own. Added spans whose value is widely copied are dropped; base spans always stay. Other columns are not read.
@@ -80,7 +81,7 @@ def scan(documents: DataFrame, owner: Column, repository: Column, key: str = "do
     body = F.coalesce(F.col(text), F.lit(""))
     found = documents.select(F.col(key).alias("key"), owner.alias("owner"), repository.alias("repository"), body.alias("body"))
     found = found.withColumn("base", base_spans(F.col("body"))).withColumn("spans", F.concat("base", opaque_spans(F.col("body"), F.col("base"))))
-    rows = cut(found.select("key", "owner", "repository", "spans", F.monotonically_increasing_id().alias("row")), "secrets")
+    rows = cut(found.select("key", text_hash(F.col("body")).alias("text_hash"), "owner", "repository", "spans", F.monotonically_increasing_id().alias("row")), "secrets")
     each = rows.where(F.size("spans") > 0).select("row", "owner", "repository", F.explode("spans").alias("span"))
     known = ownership(each.select(F.col("span.hash").alias("hash"), "owner", "repository"))
     verdict = F.when(F.col("n_owners") >= copied_owners, "copied").otherwise("live")
@@ -88,7 +89,20 @@ def scan(documents: DataFrame, owner: Column, repository: Column, key: str = "do
     judged = judged.select("row", F.struct("span.kind", "span.start", "span.end", "span.base", "n_owners", "n_repositories", verdict.alias("verdict")).alias("s"))
     judged = judged.where(F.col("s.base") | (F.col("s.verdict") == "live")).groupBy("row").agg(F.collect_list("s").alias("judged"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,base:boolean,n_owners:bigint,n_repositories:bigint,verdict:string>>")
-    return rows.join(judged, "row", "left").select("key", F.coalesce("judged", none).alias("spans"))
+    return rows.join(judged, "row", "left").select("key", "text_hash", "owner", "repository", F.coalesce("judged", none).alias("spans"))
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """`text` with each stretch of overlapping `spans` (code-point start, end) replaced by `mark`."""
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+
+    def step(acc: Column, s: Column) -> Column:
+        new = s["start"] >= acc["at"]
+        between = F.concat(acc["done"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, between).otherwise(acc["done"]).alias("done"))
+
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.aggregate(ordered, zero, step, lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.char_length(text))))
 
 
 def by_source(documents: DataFrame) -> tuple[Column, Column]:

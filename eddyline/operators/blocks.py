@@ -4,8 +4,9 @@ A window partitioned by the key alone sends every row of that key to one task, w
 key holds a large share of the table. Here the ordered rows of every hot key are cut into blocks of the ordering
 column, and windows are partitioned by (key, block); all other keys are one block each.
 
-* `blocked` - assigns the blocks. Keys with more than `HOT_ROWS` rows are hot. There are at most
-  (rows of the table / HOT_ROWS) of them, so their list is broadcast.
+* `blocked` - assigns the blocks. A key with enough rows in a hashed sample is cut at quantiles of the ordering column, so bursts,
+  gaps and outliers don't matter: a block holds about `HOT_ROWS` rows. All edges together are at most (rows of the table /
+  HOT_ROWS) numbers, so they are broadcast. With an explicit width, keys of more than `HOT_ROWS` rows are cut at its multiples.
 * `running` - running aggregates. Of the hot keys, one small row per (key, block) is aggregated first, the block totals are
   accumulated over the blocks of each key, and the total before a block is put in front of its rows as one extra row.
 * `with_neighbours` - the n rows before / after each block are copied into it, so that `lag`, `lead` and
@@ -30,17 +31,18 @@ BLOCK = "_block"
 CONTEXT = "_context"
 HOT = "_hot"
 HOT_ROWS = 8_000_000  # more rows than one task should sort
-Width = Column | int
+EDGE_SAMPLES = 32  # sampled rows per block: block sizes stay within a factor of two
+Width = Column | int | None  # None: quantile edges
 
 
-def auto_width(base: DataFrame, position: str, target_rows: int = HOT_ROWS) -> Column:
+def auto_width(base: DataFrame, position: str, target_rows: int | None = None) -> Column:
     """Block width under which all keys together have about `target_rows` rows per block.
 
     A lazy scalar subquery over one column of the base table. A block of one key never has more rows than
     the block of the whole table, however skewed the keys are.
     """
     p = F.col(position)
-    blocks = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / F.lit(target_rows)))
+    blocks = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / F.lit(target_rows or HOT_ROWS)))
     return base.agg(F.greatest(F.lit(1), F.ceil((F.max(p) - F.min(p) + 1) / blocks)).cast("long")).scalar()
 
 
@@ -49,8 +51,46 @@ def block_start(position: Column, width: Width) -> Column:
     return (position - F.pmod(position, w)).cast("long")
 
 
+def quantile_edges(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+    """(keys, _edges) of the keys that need more than one block: ascending positions at which a new block starts.
+
+    Rows are sampled by a hash of their values, one in HOT_ROWS / EDGE_SAMPLES, so every evaluation draws the same rows;
+    each EDGE_SAMPLES-th sampled position is an edge.
+    """
+    every = max(1, HOT_ROWS // EDGE_SAMPLES)
+    plain = [F.col(c) for c, kind in df.dtypes if c in keys or kind in ("bigint", "int", "smallint", "tinyint", "string", "boolean", "date")]
+    sampled = df.where(F.pmod(F.xxhash64(*plain), F.lit(every)) == 0).groupBy(*keys).agg(F.sort_array(F.collect_list(F.col(position).cast("long"))).alias("_sample"))
+    count = F.size("_sample")
+    edges = F.transform(F.sequence(F.lit(EDGE_SAMPLES), F.greatest(count, F.lit(EDGE_SAMPLES)), F.lit(EDGE_SAMPLES)), lambda i: F.get("_sample", i - 1))
+    return sampled.where(count >= EDGE_SAMPLES).select(*keys, F.array_distinct(edges).alias("_edges"))
+
+
+def _edge_below(edges: Column, position: Column) -> Column:
+    """The largest edge not above `position`, by bisection; the smallest number before the first edge."""
+    zero = F.struct(F.lit(0).alias("low"), F.size(edges).alias("high"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        above = F.get(edges, middle) <= position
+        return F.struct(F.when(above, middle + 1).otherwise(acc["low"]).alias("low"), F.when(above, acc["high"]).otherwise(middle).alias("high"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(edges) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, zero, halve, lambda acc: F.coalesce(F.get(edges, acc["low"] - 1), F.lit(-(2**63))))
+
+
 def blocked(df: DataFrame, keys: Sequence[str], position: str, width: Width) -> DataFrame:
     """Add `_block` and `_hot`. Without keys the whole input counts as one hot key."""
+    if width is None:
+        found = quantile_edges(df, keys, position)
+        if not keys:
+            none = F.array().cast("array<bigint>")
+            marked = df.withColumn("_edges", F.coalesce(found.scalar(), none)).withColumn(HOT, F.lit(True))
+        else:
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+            hot = found.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_edges", F.lit(True).alias(HOT))
+            marked = df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{k}" for k in keys])
+        block = F.when(F.col(HOT), _edge_below(F.col("_edges"), F.col(position).cast("long"))).otherwise(F.lit(0).cast("long"))
+        return marked.withColumn(BLOCK, block).drop("_edges")
     start = block_start(F.col(position), width)
     if not keys:
         return df.withColumns({BLOCK: start, HOT: F.lit(True)})
@@ -223,6 +263,8 @@ def with_time_context(
 
     The width is raised to the larger distance, so a row has at most three copies.
     """
+    if width is None:
+        width = auto_width(df, position)
     w = F.greatest(width if isinstance(width, Column) else F.lit(width), F.lit(before), F.lit(after), F.lit(1))
     p = F.col(position)
     rows = blocked(df.withColumn("_w", w.cast("long")), keys, position, F.col("_w"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.operators.blocks import auto_width
+from eddyline.operators.blocks import Width
 
 SECOND = 1_000_000
 HOUR = 3600 * SECOND
@@ -39,7 +39,7 @@ def as_calls(events: DataFrame) -> DataFrame:
         F.col("ts"),
         epoch_us(F.col("ts")).alias("t"),
         F.col("user_id").alias("sid"),
-        F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("call_in"),
+        F.regexp_extract("props", "[0-9]+", 0).try_cast("int").alias("call_in"),
         mapped.alias("call_type"),
         F.floor("value").cast("long").alias("duration"),
     )
@@ -59,12 +59,16 @@ def in_seconds(calls: DataFrame) -> DataFrame:
     return calls.withColumn("t", F.floor(F.col("t") / SECOND).cast("long"))
 
 
-def seq_width(spark: SparkSession, sf_dir: str) -> Column:
-    return auto_width(table(spark, sf_dir, "events"), "event_id")
+# fixed block widths by position column, for trials; without one, hot keys are cut at quantiles
+WIDTHS: dict[str, int] = {}
 
 
-def time_width(spark: SparkSession, sf_dir: str) -> Column:
-    return auto_width(calls(spark, sf_dir).select("t"), "t")
+def seq_width(spark: SparkSession, sf_dir: str) -> Width:
+    return WIDTHS.get("event_id")
+
+
+def time_width(spark: SparkSession, sf_dir: str) -> Width:
+    return WIDTHS.get("t")
 
 
 # the same call log for the oracle

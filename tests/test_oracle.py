@@ -34,11 +34,14 @@ def test_oracle(spark, sf, oracle, name):
 
 
 @pytest.mark.parametrize("name", [n for n in sorted(ORACLES) if n.startswith(BLOCKED)])
-def test_oracle_with_many_blocks(spark, sf, oracle, name, monkeypatch):
+@pytest.mark.parametrize("cut", ["multiples", "quantiles"])
+def test_oracle_with_many_blocks(spark, sf, oracle, name, cut, monkeypatch):
     """About half of the users count as hot."""
-    widths = {"event_id": 53, "t": 5 * inputs.HOUR}
     monkeypatch.setattr(blocks, "HOT_ROWS", 66)
-    monkeypatch.setattr(inputs, "auto_width", lambda base, position, **_: widths[position])
+    if cut == "multiples":
+        monkeypatch.setattr(inputs, "WIDTHS", {"event_id": 53, "t": 5 * inputs.HOUR})
+    else:
+        monkeypatch.setattr(blocks, "EDGE_SAMPLES", 66)
     check(spark, sf, oracle, name)
 
 

@@ -75,6 +75,22 @@ def test_blocks_of_a_hot_key_are_bounded(spark, skewed):
         assert skewed.where("k = 0").count() > 10_000
 
 
+@pytest.mark.parametrize("shape", ["even", "outlier", "burst", "gaps"])
+def test_quantile_blocks_hold_for_uneven_positions(spark, skewed, monkeypatch, shape):
+    monkeypatch.setattr(blocks, "HOT_ROWS", 1000)
+    place = {
+        "even": F.col("seq"),
+        "outlier": F.when(F.col("seq") == 0, 0).otherwise(F.col("seq") + 10**12),
+        "burst": F.when(F.col("seq") % 10 == 0, F.col("seq") * 10**6).otherwise(15_000 * 10**6 + F.col("seq")),
+        "gaps": F.col("seq") + F.floor(F.col("seq") / 100) * 10**7,
+    }[shape]
+    rows = skewed.select("k", place.cast("long").alias("p"))
+    sizes = blocks.blocked(rows, ["k"], "p", None).where("k = 0").groupBy("_block").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert sizes[0] <= 2000 and sizes[1] >= 7
+    whole = blocks.blocked(rows.select("p"), [], "p", None).groupBy("_block").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert whole[0] <= 2000 and whole[1] >= 15
+
+
 def test_only_hot_keys_are_cut(skewed, monkeypatch):
     monkeypatch.setattr(blocks, "HOT_ROWS", 5000)
     cut = blocks.blocked(skewed, ["k"], "seq", 1000).groupBy("k").agg(F.count_distinct("_block").alias("n")).where("n > 1")
@@ -102,6 +118,8 @@ def test_hot_key_results_do_not_depend_on_blocks(spark, skewed, monkeypatch):
         monkeypatch.setattr(blocks, "HOT_ROWS", hot)
         assert list(results(blocks.auto_width(skewed, "seq", target_rows=500))) == whole
         assert list(results(37)) == whole
+    monkeypatch.setattr(blocks, "HOT_ROWS", 500)
+    assert list(results(None)) == whole
 
 
 def test_empty_input(spark, sf):

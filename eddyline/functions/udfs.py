@@ -24,8 +24,8 @@ def average(column: str) -> Column:
 
 
 def integer_average(column: str) -> Column:
-    """Sum divided by count in integers."""
-    return F.try_divide(F.sum(column) - F.pmod(F.sum(column), F.count(column)), F.count(column)).cast("long")
+    """Sum divided by count in integers, cut towards zero; null on empty input."""
+    return F.call_function("div", F.sum(column), F.nullif(F.count(column), F.lit(0)))
 
 
 def split_bar(df: DataFrame, text: str) -> DataFrame:

@@ -39,8 +39,11 @@ def interval(
 
     Left rows stay in their own time bucket, right rows are copied to the (at most two) buckets their
     interval touches, and the bucket joins the equality keys. A hot key is thus spread over time, no left row is
-    duplicated, so semi, anti and outer joins are exact too. Put the smaller side on the right.
+    duplicated, so semi, anti and left outer joins are exact too. Put the smaller side on the right. For a right outer join swap the
+    sides and turn the interval; for a full one add the unmatched rows of a left_anti join.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"an interval join can't be {how}: swap the sides, or add the rows of a left_anti join")
     width = max(upper - lower, 1)
     lt, rt = F.col(left_t), F.col(right_t)
     lefts = left.withColumn("_bucket", block_start(lt, width))

@@ -14,17 +14,12 @@ NEAR = 12 * HOUR
 
 @query(
     "join_full_outer",
-    """SELECT c_nationkey AS nation, c_custkey, s_suppkey FROM
-       (SELECT c_nationkey, c_custkey FROM customer WHERE c_acctbal > 9000) c
-       FULL JOIN (SELECT s_nationkey, s_suppkey FROM supplier) s ON c_nationkey = s_nationkey
-       WHERE c_nationkey IS NOT NULL
-       UNION ALL SELECT s_nationkey, NULL, s_suppkey FROM supplier
-       WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9000)""",
+    "SELECT coalesce(c_custkey, o_custkey) AS custkey, c_nationkey, o_orderkey FROM customer FULL JOIN orders ON c_custkey = o_custkey",
 )
 def join_full_outer(spark: SparkSession, sf: str) -> DataFrame:
-    rich = table(spark, sf, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("nation"), "c_custkey")
-    suppliers = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation"), "s_suppkey")
-    return joins.full_outer(rich, suppliers, ["nation"])
+    people = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_nationkey")
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey")
+    return joins.full_outer(people, orders, ["custkey"])
 
 
 def _interval_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -108,60 +103,58 @@ def join_window_cogroup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _people(spark: SparkSession, sf: str) -> DataFrame:
-    """Every second customer, so that lookups miss."""
-    return table(spark, sf, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name", "c_mktsegment")
+    """Suppliers by number: far fewer than users, so most lookups miss."""
+    return table(spark, sf, "supplier").select(F.col("s_suppkey").alias("person"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
 
 
-PEOPLE_SQL = ", people AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 2 = 0)"
+PEOPLE_SQL = ", people AS (SELECT s_suppkey AS person, s_name AS name, s_nationkey AS nation FROM supplier)"
 
 
-@query(
-    "join_lookup",
-    calls_sql(f"{PEOPLE_SQL} SELECT seq, sid, c_name, c_mktsegment FROM calls LEFT JOIN people ON sid = c_custkey"),
-)
+@query("join_lookup", calls_sql(f"{PEOPLE_SQL} SELECT seq, sid, name, nation FROM calls LEFT JOIN people ON sid = person"))
 def join_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    nothing = {"c_name": F.lit(None), "c_mktsegment": F.lit(None)}
-    return joins.lookup(calls(spark, sf).select("seq", "sid"), _people(spark, sf), "sid", "c_custkey", nothing)
+    nothing = {"name": F.lit(None), "nation": F.lit(None)}
+    return joins.lookup(calls(spark, sf).select("seq", "sid"), _people(spark, sf), "sid", "person", nothing)
 
 
-ROLES = {"caller": ("sid", "c_name"), "callee": ("call_in", "c_name")}
-ROLES_SQL = calls_sql(f"""{PEOPLE_SQL} SELECT seq, sid, call_in, coalesce(a.c_name, '') AS caller, coalesce(b.c_name, '') AS callee
-  FROM calls LEFT JOIN people a ON sid = a.c_custkey LEFT JOIN people b ON call_in = b.c_custkey""")
+ROLES = {"caller": ("sid", "name"), "callee": ("call_in", "name")}
+ROLES_SQL = """SELECT seq, sid, call_in, coalesce(a.name, '') AS caller, coalesce(b.name, '') AS callee
+  FROM calls LEFT JOIN people a ON sid = a.person LEFT JOIN people b ON call_in = b.person"""
 
 
-@query("join_lookup_two_roles", ROLES_SQL)
+@query("join_lookup_two_roles", calls_sql(f"{PEOPLE_SQL} {ROLES_SQL}"))
 def join_lookup_two_roles(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.lookup_roles(calls(spark, sf).select("seq", "sid", "call_in"), _people(spark, sf), "c_custkey", ROLES)
+    return joins.lookup_roles(calls(spark, sf).select("seq", "sid", "call_in"), _people(spark, sf), "person", ROLES)
 
 
-@query("join_broadcast_state", ROLES_SQL)
+@query(
+    "join_broadcast_state",
+    calls_sql(f", people AS (SELECT o_custkey AS person, arg_max(o_orderpriority, o_orderkey) AS name FROM orders GROUP BY o_custkey) {ROLES_SQL}"),
+)
 def join_broadcast_state(spark: SparkSession, sf: str) -> DataFrame:
-    """The broadcast side is a stream of versions; its current rows are the lookup table."""
-    return joins.lookup_roles(calls(spark, sf).select("seq", "sid", "call_in"), _people(spark, sf), "c_custkey", ROLES)
+    """The other side is a stream of versions of each person (here: orders); a later record replaces an earlier one first."""
+    versions = table(spark, sf, "orders").select(F.col("o_custkey").alias("person"), "o_orderkey", F.col("o_orderpriority").alias("name"))
+    current = versions.groupBy("person").agg(F.max_by("name", "o_orderkey").alias("name"))
+    return joins.lookup_roles(calls(spark, sf).select("seq", "sid", "call_in"), current, "person", ROLES)
 
 
-@query(
-    "join_lookup_async",
-    calls_sql(f"{PEOPLE_SQL} SELECT seq, sid, coalesce(c_name, 'not found') AS c_name FROM calls LEFT JOIN people ON sid = c_custkey"),
-)
+@query("join_lookup_async", calls_sql(f"{PEOPLE_SQL} SELECT seq, sid, coalesce(name, 'not found') AS name FROM calls LEFT JOIN people ON sid = person"))
 def join_lookup_async(spark: SparkSession, sf: str) -> DataFrame:
     """One bulk join instead of a request per row; `seq` keeps the order for ordered output."""
-    return joins.lookup(calls(spark, sf).select("seq", "sid"), _people(spark, sf), "sid", "c_custkey", {"c_name": F.lit("not found")})
+    return joins.lookup(calls(spark, sf).select("seq", "sid"), _people(spark, sf), "sid", "person", {"name": F.lit("not found")})
 
 
 @query(
     "join_broadcast_map",
-    """SELECT c_custkey, n_name, coalesce(r_name, 'unknown') AS region FROM customer
-       LEFT JOIN nation ON c_nationkey = n_nationkey
-       LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) ON n_regionkey = r_regionkey""",
+    """SELECT s_suppkey, n_name, coalesce(r_name, 'unknown') AS region FROM supplier
+       LEFT JOIN nation ON s_suppkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
 )
 def join_broadcast_map(spark: SparkSession, sf: str) -> DataFrame:
-    nations = table(spark, sf, "nation")
-    regions = table(spark, sf, "region").where("r_regionkey < 3")
-    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    named = joins.lookup(customers, nations, "c_nationkey", "n_nationkey", {"n_name": F.lit(None), "n_regionkey": F.lit(None)})
+    """Suppliers looked up by their number, so that most have no nation and no region."""
+    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
+    suppliers = table(spark, sf, "supplier").select("s_suppkey")
+    named = joins.lookup(suppliers, nations, "s_suppkey", "n_nationkey", {"n_name": F.lit(None), "n_regionkey": F.lit(None)})
     full = joins.lookup(named, regions, "n_regionkey", "r_regionkey", {"r_name": F.lit("unknown")})
-    return full.select("c_custkey", "n_name", F.col("r_name").alias("region"))
+    return full.select("s_suppkey", "n_name", F.col("r_name").alias("region"))
 
 
 def _visits(spark: SparkSession, sf: str) -> DataFrame:

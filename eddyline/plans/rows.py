@@ -103,11 +103,11 @@ def nested_construct_access(spark: SparkSession, sf: str) -> DataFrame:
     return nested.select("rk", F.col("cf1.c_name").alias("name"), (F.col("cf2.c_acctbal") + 1).alias("next_balance"))
 
 
-@query("view_round_trip", "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(value AS DOUBLE) AS value FROM events WHERE value > 10")
+@query("view_round_trip", "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(value AS DOUBLE) AS value FROM events")
 def view_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     table(spark, sf, "events").createOrReplaceTempView("round_trip")
     typed = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
-    return spark.table("round_trip").where("value > 10").to(typed)
+    return spark.table("round_trip").to(typed)
 
 
 @query(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,17 +29,34 @@ def text_line_stream(spark: SparkSession, path: str, files_per_batch: int | None
 
 
 def parse_calls(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Comma-separated lines to typed call rows; fields are trimmed. Works on streams."""
+    """Comma-separated lines to typed call rows; fields are trimmed. Works on streams.
+
+    Missing and empty fields are null, and so is a number that doesn't parse; `bad_lines` has the lines that lost something.
+    """
     parts = F.split(F.col(value), ",")
+    field = lambda i: F.nullif(F.trim(F.get(parts, i)), F.lit(""))
     names = ["sid", "call_out", "call_in", "call_type"]
-    texts = [F.trim(parts.getItem(i)).alias(n) for i, n in enumerate(names)]
-    numbers = [F.trim(parts.getItem(i)).cast("bigint").alias(n) for i, n in ((4, "call_time"), (5, "duration"))]
+    texts = [field(i).alias(n) for i, n in enumerate(names)]
+    numbers = [field(i).try_cast("bigint").alias(n) for i, n in ((4, "call_time"), (5, "duration"))]
     return lines.select(*texts, *numbers)
 
 
+def bad_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Lines with another number of fields than a call, or with a number that doesn't parse."""
+    parts = F.split(F.col(value), ",")
+    numbers = [F.trim(F.get(parts, i)) for i in (4, 5)]
+    wrong = [(n != "") & n.try_cast("bigint").isNull() for n in numbers]
+    return lines.where((F.size(parts) != 6) | F.coalesce(wrong[0], F.lit(True)) | F.coalesce(wrong[1], F.lit(True)))
+
+
+def delimited(columns: Sequence[str], sep: str = ",") -> Column:
+    """The columns as one delimited text; a null is an empty field, so the others keep their places."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+
+
 def call_lines(calls: DataFrame) -> DataFrame:
     """Call rows as comma-separated lines."""
-    return calls.select(F.concat_ws(",", "sid", "call_out", "call_in", "call_type", "call_time", "duration").alias("value"))
+    return calls.select(delimited(["sid", "call_out", "call_in", "call_type", "call_time", "duration"]).alias("value"))
 
 
 @dataclass(frozen=True)

@@ -28,8 +28,8 @@ def windowed_total_sql(df: DataFrame, delay: str, size: str) -> DataFrame:
 
 
 def processing_time_total(df: DataFrame, key: str, size: str, value: str) -> DataFrame:
-    """Tumbling sum on the time of processing."""
-    w = df.withColumn("_now", F.current_timestamp()).groupBy(key, F.window("_now", size).alias("_w"))
+    """Tumbling sum on the time of processing. The watermark lets go of a window once a later batch has passed it."""
+    w = df.withColumn("_now", F.current_timestamp()).withWatermark("_now", "0 seconds").groupBy(key, F.window("_now", size).alias("_w"))
     return w.agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("n")).select(
         key, F.col("_w.start").alias("win_start"), "total", "n"
     )

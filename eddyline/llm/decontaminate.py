@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import join_null_safe, let, lower_ascii
+from eddyline.llm.common import join_null_safe, let, lower_ascii, text_hash
 from eddyline.llm.registry import query, table
 from eddyline.session import cut
 
@@ -38,6 +38,12 @@ def spaced(words: Column, at: Column, n: Column) -> Column:
     return F.array_join(F.slice(words, at + 1, n), " ")
 
 
+def token_at(words: Column, at: Column, size: int) -> Column:
+    """A shingle's hash: only an index key and a rarity bucket, the words themselves are compared in the end. Words past the
+    end are null and skipped, so a short window's only shingle hashes like one of its own size."""
+    return F.xxhash64(*(F.get(words, at + k) for k in range(size)))
+
+
 def windows_of(benchmark: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """(item, window, n): a row for every window of every item."""
     items = benchmark.select(F.col(key).cast("string").alias("item"), words_of(F.col(text)).alias("words"))
@@ -57,7 +63,7 @@ def tokens_of(windows: DataFrame, shingle: int) -> DataFrame:
         size = F.least(F.size(words), F.lit(shingle))
         return F.transform(
             F.sequence(F.lit(0), F.size(words) - size),
-            lambda i: F.struct(spaced(words, i, size).alias("token"), size.alias("size"), i.alias("offset")),
+            lambda i: F.struct(token_at(words, i, shingle).alias("token"), size.alias("size"), i.alias("offset")),
         )
 
     each = windows.select("window", "n", F.explode(let(F.split("window", " "), shingles)).alias("t"))
@@ -68,26 +74,32 @@ def positions_of(rows: DataFrame, sizes: list[int]) -> DataFrame:
     """`rows` (with `words`) for every position and shingle size in `sizes`: plus at, token."""
 
     def at_size(words: Column, size: int) -> Column:
-        def token(i: Column) -> Column:
-            return F.concat_ws(" ", *(F.get(words, i + k) for k in range(size)))
+        some = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: token_at(words, i, size))
+        return F.when(F.size(words) >= size, some).otherwise(F.array().cast("array<bigint>"))
+
+    def exploded(size: int) -> DataFrame:
+        return rows.select(*rows.columns, F.posexplode(at_size(F.col("words"), size)).alias("at", "token"))
+
+    every = exploded(sizes[0])
+    for size in sizes[1:]:
+        every = every.unionByName(exploded(size))
+    return every
 
-        some = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.struct(i.alias("at"), token(i).alias("token")))
-        return F.when(F.size(words) >= size, some).otherwise(F.array().cast("array<struct<at:int,token:string>>"))
 
-    tokens = F.concat(*(at_size(F.col("words"), s) for s in sizes)) if len(sizes) > 1 else at_size(F.col("words"), sizes[0])
-    return rows.select(*rows.columns, F.explode(tokens).alias("t")).select(*rows.columns, "t.at", "t.token")
+def fits(df: DataFrame, row_bytes: Column) -> bool:
+    """Whether `df` is measured to be small enough for a broadcast."""
+    return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= MAX_BROADCAST_BYTES
 
 
 def occurrences(documents: DataFrame, windows: DataFrame, size: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """(key, text_hash, start, n, window): every occurrence of every distinct window; `documents` has key, text_hash, text."""
     tokens = cut(tokens_of(windows.select("window", "n").distinct(), shingle), "tokens")
     distinct = tokens.select("token").distinct()
-    small = (distinct.agg(F.sum(F.octet_length("token") + 16)).first()[0] or 0) <= MAX_BROADCAST_BYTES
     sizes = sorted(r[0] for r in tokens.select("size").distinct().limit(shingle).collect()) or [shingle]
     rows = documents.select("key", "text_hash", words_of(F.col("text")).alias("words"))
 
     seen = positions_of(rows.select("words"), sizes).select("token")
-    if small:
+    if fits(distinct, F.lit(64)):
         counts = seen.join(F.broadcast(distinct), "token").groupBy("token").agg(F.count(F.lit(1)).alias("corpus"))
     else:
         counts = seen.groupBy("token").agg(F.count(F.lit(1)).alias("corpus")).join(distinct, "token")
@@ -99,7 +111,7 @@ def occurrences(documents: DataFrame, windows: DataFrame, size: int = WINDOW, sh
     near = F.slice("words", F.greatest(F.col("at") - reach, F.lit(0)) + 1, 2 * reach + shingle).alias("near")
     every = positions_of(rows.withColumn("n_words", F.size("words")), sizes)
     columns = ["key", "text_hash", "n_words", "at", "token"]
-    if small:
+    if fits(prefixes, F.octet_length("window") + 128):
         # generated positions are joined within one compiled stage: `words` is a reference, copied for matches only
         joined = every.join(F.broadcast(prefixes), "token").select(*columns, "window", "n", "offset", near)
     else:
@@ -130,7 +142,7 @@ def contamination(
     Null or empty texts have no words; items without words have no window; hits of items with a null id count in n_hit only. Rows
     that repeat get equal results. Keys may be null. An empty benchmark hits nothing. Other columns are not read.
     """
-    keyed = documents.select(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
+    keyed = documents.select(F.col(key).alias("key"), text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     windows = cut(windows_of(benchmark, item_key, item_text, size), "windows")
     found = cut(occurrences(keyed, windows, size, shingle), "occurrences")
     hits = found.groupBy("key", "text_hash").agg(covered(F.collect_set(F.struct("start", "n"))).alias("n_hit"))

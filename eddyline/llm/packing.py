@@ -12,7 +12,9 @@ items, or when a round closed too few bins to pay for another.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
@@ -33,56 +35,82 @@ MERGE_ITEMS = 200_000
 FAN_IN = 8
 MIN_GAIN = 0.002
 
-CACHED_WORDS = 400_000
-BATCH_CHARS = 4 << 20
+CACHED = 150_000
+LONGEST_CACHED = 64
+BATCH_CHARS = 1 << 20
+
+# fixed values: how the tokenizer splits a lower-cased text, for ASCII and Latin-1 letters
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-/:-@\[-`{-~]+")
+PLAIN = re.compile(r"[\t-\r\x20-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+
+
+def byte_letters() -> list[str]:
+    """Byte-level BPE writes bytes as printable characters: printable Latin-1 as itself, the others from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+BYTE_LETTERS = byte_letters()
 
 PIECE = "struct<key:{key},piece:int,start:bigint,length:bigint,crc:bigint>"
 
 
-class WordEncoder:
-    """Token ids of whole texts, from the ids of their words.
+class Cached(dict):
+    """A cache of bounded size: beyond it, it starts anew. Long keys are not kept."""
+
+    def __init__(self, make: Callable[[str], bytes], size: int):
+        super().__init__()
+        self.make, self.size = make, size
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.make(key)
+        if len(key) <= LONGEST_CACHED:
+            if len(self) >= self.size:
+                self.clear()
+            self[key] = got
+        return got
+
 
-    The tokenizer never joins over a space or a line break (white space ends a word and is dropped, and normal forms do not
-    reach over it), so a text's ids are those of its words in order. Words are encoded once while they stay in the cache.
+class PieceEncoder:
+    """Token ids of whole texts, from the ids of their pieces.
+
+    Texts of plain signs and Latin letters have one normal form and are split by `PIECES` as the tokenizer splits them; its model gives the ids
+    of each piece. Other texts are split at spaces and line breaks, over which the tokenizer never joins (white space ends a
+    piece and is dropped, normal forms do not reach over it), and words that aren't plain go through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, size: int = CACHED):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
-
-    def learn(self, words: list[str]) -> None:
-        """Encode the words as one text; offsets tell whose the ids are."""
-        if not words:
-            return
-        starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
-        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoded.ids, np.uint32)
-        owner = np.searchsorted(starts, np.array([a for a, _ in encoded.offsets], np.int64), "right")
-        cuts = np.searchsorted(owner, np.arange(1, len(words) + 2))
-        raw = ids.tobytes()
-        self.ids.update({w: raw[4 * a : 4 * b] for w, a, b in zip(words, cuts.tolist(), cuts[1:].tolist())})
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.ids) > CACHED_WORDS:
-            self.ids.clear()
-        new = [w for w in set().union(*split) if w not in self.ids]
-        for a in range(0, len(new), 20_000):
-            self.learn(new[a : a + 20_000])
-        get = self.ids.__getitem__
-        return [b"".join(map(get, words)) for words in split]
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
+        self.model = self.tokenizer.model
+        self.pieces = Cached(self.piece, size)
+        self.words = Cached(self.word, size)
+
+    def piece(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else "".join(map(BYTE_LETTERS.__getitem__, piece.encode()))
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """Native-order (little-endian) 32-bit ids."""
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
+        if " " in text or "\n" in text:
+            return b"".join(self.encode(w) for w in text.replace("\n", " ").split(" ") if w)
+        return self.words[text]
+
+
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def encoder(path: str) -> PieceEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
 
 
@@ -137,7 +165,7 @@ def piece_packer(encode_with: str, capacity: int, end_id: int | None) -> Callabl
 
     def pieces_of(texts: list[str]) -> tuple[list, ...]:
         row, piece, start, length, crc = [], [], [], [], []
-        for i, raw in enumerate(encoder(encode_with).encode(texts)):
+        for i, raw in enumerate(map(encoder(encode_with).encode, texts)):
             raw += end
             for p, a in enumerate(range(0, len(raw), 4 * capacity)):
                 part = raw[a : a + 4 * capacity]

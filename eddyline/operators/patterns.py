@@ -95,6 +95,32 @@ def followed_by_any(df: DataFrame, key: str, order: str, t: str, first: Column,
     return pairs.where(later).select(key, "start_seq", "end_seq")
 
 
+def later_ends(df: DataFrame, key: str, order: str, first: Column, then: Column, width: Width) -> DataFrame:
+    """A `first` row with all later `then` rows, whatever lies between and however far, one row per start:
+    (key, start_seq, n, first_end, last_end). The matches are the pairs of the start with each of the n ends."""
+    hit = _flag(then)
+    rows = df.select(key, order, _flag(first).alias("_first"), hit.cast("long").alias("_one"), F.when(hit, F.col(order)).alias("_at"))
+    looks = {"n": ("sum", F.col("_one")), "first_end": ("last", F.col("_at")), "last_end": ("max", F.col("_at"))}
+    found = running(rows, [key], [order], looks, width, exclusive=True, reverse=True)
+    return found.where(F.col("_first") & (F.col("n") > 0)).select(key, F.col(order).alias("start_seq"), "n", "first_end", "last_end")
+
+
+def later_combinations(df: DataFrame, key: str, order: str, first: Column, then: Column, width: Width) -> DataFrame:
+    """`first`, the next `then`, and any one `then` after that, one row per start: (key, start_seq, mid_seq, n, last_end)."""
+    found = later_ends(df, key, order, first, then, width).where("n > 1")
+    return found.select(key, "start_seq", F.col("first_end").alias("mid_seq"), (F.col("n") - 1).alias("n"), "last_end")
+
+
+def prefixes_until(df: DataFrame, key: str, order: str, item: Column, stop: Column, width: Width) -> DataFrame:
+    """`item`+ until a `stop` row, one row per start: (key, start_seq, n, last_seq). The matches are the n prefixes of the
+    items from the start up to the last one before the next stop row."""
+    rows = df.select(key, order, _flag(item & ~stop).alias("_item"), _flag(stop).cast("long").alias("_stop"))
+    marks = {"_no": ("sum", F.col("_item").cast("long")), "_part": ("sum", F.col("_stop"))}
+    items = cut(running(rows, [key], [order], marks, width).where("_item").select(key, "_part", order, "_no"))
+    ends = items.groupBy(key, "_part").agg(F.max("_no").alias("_to"), F.max(order).alias("last_seq"))
+    return items.join(ends, [key, "_part"]).select(key, F.col(order).alias("start_seq"), (F.col("_to") - F.col("_no") + 1).alias("n"), "last_seq")
+
+
 def first_and_any(df: DataFrame, key: str, order: str, t: str, first: Column, then: Column, within: int, width: Width) -> DataFrame:
     """`first`, the next `then`, and any one `then` after that, all less than `within` after the first row."""
     firsts = followed_by_within(df, key, order, t, first, then, within, width).where(F.col("end_seq").isNotNull())
@@ -139,9 +165,9 @@ def _prefixes(items: DataFrame, keys: Sequence[str], order: str, t: str, within:
 
 
 def followed_by_consecutive(df: DataFrame, key: str, order: str, first: Column, item: Column, width: Width) -> DataFrame:
-    """`first`, then the next `item` row with the items directly after it; one match per prefix of that run.
+    """`first`, then the next `item` row with the items directly after it: (key, start_seq, item_seq, n).
 
-    Gives (key, start_seq, item_seq, n): n = 1 .. length of the run from its first item on.
+    The matches are the n prefixes of that run from its first item on.
     """
     is_item = _flag(item)
     rows = df.select(
@@ -160,7 +186,7 @@ def followed_by_consecutive(df: DataFrame, key: str, order: str, first: Column,
         key,
         F.col(order).alias("start_seq"),
         F.col("_run.seq").alias("item_seq"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("_run.n"))).alias("n"),
+        F.col("_run.n").alias("n"),
     )
 
 
@@ -187,41 +213,35 @@ def greedy_before(df: DataFrame, key: str, order: str, t: str, item: Column, end
     )
 
 
-def skip_strategies(
-    df: DataFrame, key: str, order: str, t: str, item: Column, end: Column, within: int, width: Width
-) -> DataFrame:
-    """`item`+ followed by `end` under the five after-match strategies: (strategy, key, start_seq, last_seq, n, end_seq).
+def skip_strategies(df: DataFrame, key: str, order: str, t: str, item: Column, end: Column, width: Width) -> DataFrame:
+    """`item`+ followed by `end` under the five after-match strategies, one row per strategy and start:
+    (strategy, key, start_seq, matches, longest, end_seq) with the number of matches from this start, the number of items
+    of the longest, and the start's own next end row.
 
-    For equal starts the longest match is taken first. With it
-    `none` keeps each start with each last item (bounded by `within`, from the first item to the end row),
-    `to_next` one match per start, `past_last` one per end row, `to_first` the matches inside one stretch
-    between end rows, and `to_last` the longest match plus the one starting at its last item.
+    A match of a start takes the items from it up to some last item and the next end row after that. For equal starts the longest match is
+    taken first. With it `none` keeps each start with each last item that has an end row after it, `to_next` one match per
+    start, `past_last` one per end row, `to_first` the matches inside one stretch between end rows, and `to_last` the
+    longest match plus the one starting at its last item.
     """
     runs = cut(_numbered_runs(df, key, order, t, item, end, width).where(F.col("_next").isNotNull()))
-    items = runs.select(
-        key, order, t, "_no", F.col("_next.seq").alias("end_seq"), F.col("_next.t").alias("end_t"), F.col("_next.no").alias("_all")
-    )
-    stretch = items.groupBy(key, "end_seq").agg(
-        F.min(order).alias("_first"), F.max(order).alias("_last"), F.count(F.lit(1)).alias("_n")
-    )
+    items = runs.select(key, order, "_no", F.col("_next.seq").alias("end_seq"), F.col("_next.no").alias("_all"))
+    stretch = items.groupBy(key, "end_seq").agg(F.min(order).alias("_first"), F.max(order).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    whole = items.groupBy(key).agg(F.max("_no").alias("_every"))
 
-    def shaped(rows: DataFrame, name: str, start: str, last: str, n: Column) -> DataFrame:
+    def shaped(rows: DataFrame, name: str, start: str, matches: Column, longest: Column) -> DataFrame:
         return rows.select(
-            F.lit(name).alias("strategy"), key, F.col(start).alias("start_seq"), F.col(last).alias("last_seq"),
-            n.cast("long").alias("n"), "end_seq",
+            F.lit(name).alias("strategy"), key, F.col(start).alias("start_seq"),
+            matches.cast("long").alias("matches"), longest.cast("long").alias("longest"), "end_seq",
         )
 
-    pairs = _prefixes(items.drop("_all"), [key], order, t, within).where(F.col("end_t") - F.col("start_t") < within)
-    inside = _prefixes(items.select(key, "end_seq", order, t, "_no"), [key, "end_seq"], order, t, within)
-    per_start = items.join(stretch.select(key, "end_seq", "_last"), [key, "end_seq"])
-    longest = shaped(stretch, "past_last", "_first", "_last", F.col("_n"))
+    to_all, in_stretch, one = F.col("_every") - F.col("_no") + 1, F.col("_all") - F.col("_no") + 1, F.lit(1)
     out = [
-        shaped(pairs, "none", "start_seq", "last_seq", F.col("n")),
-        shaped(per_start, "to_next", order, "_last", F.col("_all") - F.col("_no") + 1),
-        longest,
-        shaped(inside, "to_first", "start_seq", "last_seq", F.col("n")),
-        longest.withColumn("strategy", F.lit("to_last")),
-        shaped(stretch.where("_n > 1"), "to_last", "_last", "_last", F.lit(1)),
+        shaped(items.join(whole, key), "none", order, to_all, to_all),
+        shaped(items, "to_next", order, one, in_stretch),
+        shaped(stretch, "past_last", "_first", one, F.col("_n")),
+        shaped(items, "to_first", order, in_stretch, in_stretch),
+        shaped(stretch, "to_last", "_first", one, F.col("_n")),
+        shaped(stretch.where("_n > 1"), "to_last", "_last", one, one),
     ]
     result = out[0]
     for part in out[1:]:

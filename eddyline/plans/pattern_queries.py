@@ -53,12 +53,12 @@ def cep_followed_by(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cep_followed_by_any",
-    calls_sql(f"""SELECT a.sid, a.seq AS start_seq, c.seq AS end_seq FROM calls a JOIN calls c ON a.sid = c.sid AND c.seq > a.seq
-      WHERE a.call_type = 'busy' AND c.call_type = 'success' AND c.t - a.t < {4 * DAY}"""),
+    calls_sql("""SELECT a.sid, a.seq AS start_seq, count(*) AS n, min(c.seq) AS first_end, max(c.seq) AS last_end FROM calls a JOIN calls c
+      ON a.sid = c.sid AND c.seq > a.seq WHERE a.call_type = 'busy' AND c.call_type = 'success' GROUP BY ALL"""),
 )
 def cep_followed_by_any(spark: SparkSession, sf: str) -> DataFrame:
-    rows = calls(spark, sf, "busy", "success").select("sid", "seq", "t", "call_type")
-    return patterns.followed_by_any(rows, "sid", "seq", "t", _is("busy"), _is("success"), 4 * DAY)
+    rows = calls(spark, sf, "busy", "success").select("sid", "seq", "call_type")
+    return patterns.later_ends(rows, "sid", "seq", _is("busy"), _is("success"), seq_width(spark, sf))
 
 
 @query(
@@ -99,15 +99,12 @@ def cep_times_within(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cep_one_or_more_until",
-    calls_sql(f""", p AS (SELECT *, count(*) FILTER (call_type = 'success') OVER (PARTITION BY sid ORDER BY seq) AS part,
-        count(*) FILTER (call_type = 'busy') OVER (PARTITION BY sid ORDER BY seq) AS no FROM calls)
-      SELECT a.sid, a.seq AS start_seq, b.seq AS last_seq, b.no - a.no + 1 AS n FROM p a JOIN p b ON a.sid = b.sid AND a.part = b.part
-        AND b.seq >= a.seq AND b.t - a.t < {4 * DAY} WHERE a.call_type = 'busy' AND b.call_type = 'busy'"""),
+    calls_sql(""", p AS (SELECT *, count(*) FILTER (call_type = 'success') OVER (PARTITION BY sid ORDER BY seq) AS part FROM calls)
+      SELECT a.sid, a.seq AS start_seq, count(*) AS n, max(b.seq) AS last_seq FROM p a JOIN p b ON a.sid = b.sid AND a.part = b.part
+        AND b.seq >= a.seq WHERE a.call_type = 'busy' AND b.call_type = 'busy' GROUP BY ALL"""),
 )
 def cep_one_or_more_until(spark: SparkSession, sf: str) -> DataFrame:
-    return patterns.one_or_more_until(
-        _rows(spark, sf), "sid", "seq", "t", _is("busy"), _is("success"), 4 * DAY, seq_width(spark, sf)
-    )
+    return patterns.prefixes_until(_rows(spark, sf), "sid", "seq", _is("busy"), _is("success"), seq_width(spark, sf))
 
 
 @query(
@@ -116,8 +113,8 @@ def cep_one_or_more_until(spark: SparkSession, sf: str) -> DataFrame:
       c AS (SELECT *, rn - row_number() OVER (PARTITION BY sid ORDER BY seq) AS island FROM r WHERE call_type = 'fail'),
       f AS (SELECT a.sid, a.seq AS start_seq, min(c.seq) AS item_seq FROM calls a JOIN c ON a.sid = c.sid AND c.seq > a.seq
         WHERE a.call_type = 'busy' GROUP BY ALL)
-      SELECT f.sid, f.start_seq, f.item_seq, l.rn - h.rn + 1 AS n FROM f JOIN c h ON h.seq = f.item_seq
-        JOIN c l ON l.sid = h.sid AND l.island = h.island AND l.rn >= h.rn"""),
+      SELECT f.sid, f.start_seq, f.item_seq, count(*) AS n FROM f JOIN c h ON h.seq = f.item_seq
+        JOIN c l ON l.sid = h.sid AND l.island = h.island AND l.rn >= h.rn GROUP BY ALL"""),
 )
 def cep_consecutive(spark: SparkSession, sf: str) -> DataFrame:
     return patterns.followed_by_consecutive(_rows(spark, sf), "sid", "seq", _is("busy"), _is("fail"), seq_width(spark, sf))
@@ -125,15 +122,13 @@ def cep_consecutive(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cep_allow_combinations",
-    calls_sql(f""", f AS (SELECT a.sid, a.seq AS start_seq, a.t AS start_t, min(c.seq) AS mid_seq FROM calls a JOIN calls c ON a.sid = c.sid
-        AND c.seq > a.seq AND c.t - a.t < {4 * DAY} WHERE a.call_type = 'busy' AND c.call_type = 'success' GROUP BY ALL)
-      SELECT f.sid, f.start_seq, f.mid_seq, c.seq AS end_seq FROM f JOIN calls c ON c.sid = f.sid AND c.seq > f.mid_seq
-        AND c.call_type = 'success' AND c.t - f.start_t < {4 * DAY}"""),
+    calls_sql(""", f AS (SELECT a.sid, a.seq AS start_seq, min(c.seq) AS mid_seq FROM calls a JOIN calls c ON a.sid = c.sid
+        AND c.seq > a.seq WHERE a.call_type = 'busy' AND c.call_type = 'success' GROUP BY ALL)
+      SELECT f.sid, f.start_seq, f.mid_seq, count(*) AS n, max(c.seq) AS last_end FROM f JOIN calls c ON c.sid = f.sid AND c.seq > f.mid_seq
+        AND c.call_type = 'success' GROUP BY ALL"""),
 )
 def cep_allow_combinations(spark: SparkSession, sf: str) -> DataFrame:
-    return patterns.first_and_any(
-        _rows(spark, sf), "sid", "seq", "t", _is("busy"), _is("success"), 4 * DAY, seq_width(spark, sf)
-    )
+    return patterns.later_combinations(_rows(spark, sf), "sid", "seq", _is("busy"), _is("success"), seq_width(spark, sf))
 
 
 RUNS_SQL = """, nx AS (SELECT sid, seq, t, call_type, min(CASE WHEN call_type = 'success' THEN seq END) OVER (PARTITION BY sid ORDER BY seq
@@ -154,20 +149,17 @@ def cep_greedy_prefix(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "cep_skip_strategy",
     calls_sql(f"""{RUNS_SQL}, st AS (SELECT sid, end_seq, min(seq) AS f, max(seq) AS l, count(*) AS c FROM k GROUP BY ALL),
-      pr AS (SELECT a.sid, a.seq AS start_seq, b.seq AS last_seq, b.no - a.no + 1 AS n, b.end_seq, b.end_t - a.t AS span, a.end_seq AS own_end
-        FROM k a JOIN k b ON a.sid = b.sid AND b.seq >= a.seq AND b.t - a.t < {4 * DAY})
-      SELECT 'none' AS strategy, sid, start_seq, last_seq, n, end_seq FROM pr WHERE span < {4 * DAY}
-      UNION ALL SELECT 'to_next', k.sid, k.seq, st.l, count(*) OVER (PARTITION BY k.sid, k.end_seq ORDER BY k.seq DESC), k.end_seq
-        FROM k JOIN st ON st.end_seq = k.end_seq AND st.sid = k.sid
-      UNION ALL SELECT 'past_last', sid, f, l, c, end_seq FROM st
-      UNION ALL SELECT 'to_first', sid, start_seq, last_seq, n, end_seq FROM pr WHERE end_seq = own_end
-      UNION ALL SELECT 'to_last', sid, f, l, c, end_seq FROM st
-      UNION ALL SELECT 'to_last', sid, l, l, 1, end_seq FROM st WHERE c > 1"""),
+      pr AS (SELECT a.sid, a.seq AS start_seq, a.end_seq, count(*) AS c, count(*) FILTER (b.end_seq = a.end_seq) AS own
+        FROM k a JOIN k b ON a.sid = b.sid AND b.seq >= a.seq GROUP BY ALL)
+      SELECT 'none' AS strategy, sid, start_seq, c AS matches, c AS longest, end_seq FROM pr
+      UNION ALL SELECT 'to_next', sid, start_seq, 1, own, end_seq FROM pr
+      UNION ALL SELECT 'past_last', sid, f, 1, c, end_seq FROM st
+      UNION ALL SELECT 'to_first', sid, start_seq, own, own, end_seq FROM pr
+      UNION ALL SELECT 'to_last', sid, f, 1, c, end_seq FROM st
+      UNION ALL SELECT 'to_last', sid, l, 1, 1, end_seq FROM st WHERE c > 1"""),
 )
 def cep_skip_strategy(spark: SparkSession, sf: str) -> DataFrame:
-    return patterns.skip_strategies(
-        _rows(spark, sf), "sid", "seq", "t", _is("fail"), _is("success"), 4 * DAY, seq_width(spark, sf)
-    )
+    return patterns.skip_strategies(_rows(spark, sf), "sid", "seq", "t", _is("fail"), _is("success"), seq_width(spark, sf))
 
 
 @query(

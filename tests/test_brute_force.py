@@ -148,7 +148,10 @@ def test_consecutive_and_run_within(spark, seed, width):
                     within.append((key, r[0], min(run), len(run)))
     df = spark.createDataFrame(data, SCHEMA)
     got = patterns.followed_by_consecutive(df, "sid", "seq", F.col("call_type") == "busy", F.col("call_type") == "fail", width)
-    assert rows(got) == sorted(consecutive, key=repr)
+    longest = {}
+    for key, start, item, n in consecutive:
+        longest[key, start, item] = max(n, longest.get((key, start, item), 0))
+    assert rows(got) == sorted(((*k, n) for k, n in longest.items()), key=repr)
     runs = patterns.run_then_within(df, "sid", "seq", "t", F.col("call_type") == "fail", F.col("call_type") == "success", 6, width)
     assert rows(runs, "sid", "end_seq", "start_seq", "n") == sorted(within, key=repr)
 
@@ -193,3 +196,55 @@ def test_time_range_sums_include_ties(spark, width):
     df = spark.createDataFrame(data, SCHEMA)
     assert rows(overs.sums_over_time_range(df, ["sid"], "t", 4, width, s=F.col("duration")), "sid", "seq", "s") == sorted(want, key=repr)
     assert rows(overs.over_time_range(df, ["sid"], "t", 4, width, s=F.sum("duration")), "sid", "seq", "s") == sorted(want, key=repr)
+
+
+def traced(rs, item, end):
+    """item+ end, fed row by row: open loops go on over end rows, and every prefix waits for its next end row."""
+    loops, waiting, out = {}, [], []
+    for seq, _, _, kind, _ in rs:
+        if kind == item:
+            loops = {s: n + 1 for s, n in loops.items()} | {seq: 1}
+            waiting += [(s, n) for s, n in loops.items()]
+        elif kind == end:
+            out += [(s, n, seq) for s, n in waiting]
+            waiting = []
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_matches_counted_per_start_follow_the_automaton(spark, seed):
+    data = events(seed)
+    ends, until, strategies = [], [], []
+    for key, rs in by_key(data).items():
+        for i, r in enumerate(rs):
+            later = [x[0] for x in rs[i + 1 :] if x[3] == "success"]
+            if r[3] == "busy" and later:
+                ends.append((key, r[0], len(later), later[0], later[-1]))
+            if r[3] == "busy":
+                run = []
+                for x in rs[i:]:
+                    if x[3] == "success":
+                        break
+                    run += [x[0]] * (x[3] == "busy")
+                until.append((key, r[0], len(run), run[-1]))
+        found = traced(rs, "fail", "success")
+        for start in sorted({m[0] for m in found}):
+            mine = [m for m in found if m[0] == start]
+            first_end = min(m[2] for m in mine)
+            own = [m for m in mine if m[2] == first_end]
+            strategies.append(("none", key, start, len(mine), max(m[1] for m in mine), first_end))
+            strategies.append(("to_next", key, start, 1, max(m[1] for m in own), first_end))
+            strategies.append(("to_first", key, start, len(own), max(m[1] for m in own), first_end))
+        for end in sorted({m[2] for m in found}):
+            inside = sorted(m for m in found if m[2] == end and not any(x[2] < end and x[0] == m[0] for x in found))
+            if inside:
+                best = max(m[1] for m in inside if m[0] == inside[0][0])
+                strategies += [(name, key, inside[0][0], 1, best, end) for name in ("past_last", "to_last")]
+                if inside[-1][0] != inside[0][0]:
+                    strategies.append(("to_last", key, inside[-1][0], 1, 1, end))
+    df = spark.createDataFrame(data, SCHEMA)
+    busy, fail, success = (F.col("call_type") == k for k in ("busy", "fail", "success"))
+    assert rows(patterns.later_ends(df, "sid", "seq", busy, success, None)) == sorted(ends, key=repr)
+    assert rows(patterns.prefixes_until(df, "sid", "seq", busy, success, None)) == sorted(until, key=repr)
+    got = patterns.skip_strategies(df, "sid", "seq", "t", fail, success, None)
+    assert rows(got, "strategy", "sid", "start_seq", "matches", "longest", "end_seq") == sorted(strategies, key=repr)

@@ -104,7 +104,7 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
                 owner, bucket = trigrams(part)
                 n = np.bincount(owner, minlength=part.n)
                 total = np.stack([np.bincount(owner, r[bucket], part.n) for r in ratio], axis=1)
-                total *= (np.minimum(n, TEXT_WEIGHT) / np.maximum(n, 1))[:, None]
+                total = total * (np.minimum(n, TEXT_WEIGHT) / np.maximum(n, 1))[:, None]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(part.n + 1, dtype=np.int32) * len(ratio)), pa.array(total.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*(c.slice(part.first, part.n) for c in batch.columns[: len(kept)]), pa.array(n), lists], [*kept, "n_grams", "evidence"])
 

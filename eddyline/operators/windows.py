@@ -7,11 +7,14 @@ the session and count windows in a form that keeps hot keys spread over many tas
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.operators.blocks import BLOCK, Width, block_start, blocked, running
+from eddyline.session import cut
 
 
 def tumble(df: DataFrame, keys: Sequence[str], ts: str, size: str, *aggs: Column) -> DataFrame:
@@ -46,13 +49,17 @@ def sessions(df: DataFrame, keys: Sequence[str], t: str, gap: Column, value: Col
 
 
 def merge_sessions(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge partial sessions (keys, _from, _to, _total, _n) that touch or overlap."""
-    ordered = Window.partitionBy(*keys).orderBy("_from", "_to")
-    reach = F.max("_to").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("_from") <= reach, 0).otherwise(1)
+    """Merge partial sessions (keys, _from, _to, _total, _n) that touch or overlap.
+
+    How far the earlier ones reach and which session a part belongs to are running aggregates, so neither a hot key nor the
+    whole table (without keys) is one task.
+    """
+    order = ["_from", "_to"]
+    seen = running(cut(parts, "sessions"), keys, order, {"_reach": ("max", F.col("_to"))}, None, exclusive=True)
+    opens = F.when(F.col("_from") <= F.col("_reach"), 0).otherwise(1).cast("long")
+    opened = cut(seen.withColumn("_opens", opens).drop("_reach"), "openings")
     return (
-        parts.withColumn("_opens", opens)
-        .withColumn("_id", F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+        running(opened, keys, order, {"_id": ("sum", F.col("_opens"))}, None)
         .groupBy(*keys, "_id")
         .agg(
             F.min("_from").alias("t_start"),
@@ -129,14 +136,16 @@ def count_windows_sliding(
 def delta_evicted(df: DataFrame, keys: Sequence[str], ts: str, size: str, order: str, value: str, threshold: int) -> DataFrame:
     """Tumbling sum over the rows whose value differs from the window's last value by less than `threshold`.
 
-    Rows are counted per distinct value first, so the window over them is small even for a hot key.
+    Rows are counted per distinct value first; the last value is an aggregate of these counts that joins back by key and window.
     """
     grouped = df.groupBy(*keys, F.window(ts, size).alias("_win"), value).agg(
         F.count(F.lit(1)).alias("_n"), F.max(order).alias("_at")
     )
-    last = F.max_by(value, "_at").over(Window.partitionBy(*keys, "_win"))
+    on = [*keys, "_win"]
+    last = grouped.groupBy(*[F.col(c).alias(f"_of_{c}") for c in on]).agg(F.max_by(value, "_at").alias("_last"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on])
     return _flat(
-        grouped.withColumn("_last", last)
+        grouped.join(last, same)
         .where(F.abs(F.col(value) - F.col("_last")) < threshold)
         .groupBy(*keys, "_win")
         .agg(F.sum(F.col(value) * F.col("_n")).alias("total"), F.sum("_n").alias("n")),

@@ -20,9 +20,9 @@ CALLS = "sid string, call_out string, call_in string, call_type string, call_tim
 
 
 def test_word_count(spark):
-    lines = spark.createDataFrame([("hello one",), ("hello two two",), ("hello one",)], "value string")
-    assert rows(transforms.word_count(lines, "value")) == [("hello", 3), ("one", 2), ("two", 2)]
-    assert rows(transforms.word_count_with_prefix(lines, "value", "t")) == [("two", 2)]
+    lines = spark.createDataFrame([("tide ebb",), ("tide flow flow",), ("tide ebb",)], "value string")
+    assert rows(transforms.word_count(lines, "value")) == [("ebb", 2), ("flow", 2), ("tide", 3)]
+    assert rows(transforms.word_count_with_prefix(lines, "value", "f")) == [("flow", 2)]
 
 
 def test_min_keeps_first_companions_and_min_row_its_own(spark):
@@ -64,22 +64,22 @@ def test_countdown(spark):
 
 
 def test_irregular_change_log(spark):
-    log = [(0, "+I", "zs", 18), (1, "+I", "ls", 19), (2, "+I", "ww", 20), (3, "+U", "ww", 21), (4, "-D", "ls", 19), (5, "+I", "zs", 18)]
+    log = [(0, "+I", "reef", 4), (1, "+I", "shoal", 9), (2, "+I", "cove", 6), (3, "+U", "cove", 7), (4, "-D", "shoal", 9), (5, "+I", "reef", 4)]
     df = spark.createDataFrame(log, "seq long, row_kind string, name string, age int")
-    assert rows(changelog.materialize(df, ["name"], "seq"), "name", "age") == [("ww", 21), ("zs", 18)]
+    assert rows(changelog.materialize(df, ["name"], "seq"), "name", "age") == [("cove", 7), ("reef", 4)]
 
 
 def test_apply_envelopes(spark):
     messages = [
-        (0, '{"before":null,"after":{"id":1,"name":"zs","age":18},"op":"c","ts_ms":1}'),
-        (1, '{"before":null,"after":{"id":2,"name":"ls","age":19},"op":"r","ts_ms":2}'),
-        (2, '{"before":{"id":2,"name":"ls","age":19},"after":{"id":2,"name":"lisi","age":20},"op":"u","ts_ms":3}'),
-        (3, '{"before":{"id":1,"name":"zs","age":18},"after":null,"op":"d","ts_ms":4}'),
+        (0, '{"before":null,"after":{"id":1,"name":"reef","age":4},"op":"c","ts_ms":1}'),
+        (1, '{"before":null,"after":{"id":2,"name":"shoal","age":9},"op":"r","ts_ms":2}'),
+        (2, '{"before":{"id":2,"name":"shoal","age":9},"after":{"id":2,"name":"sandbar","age":10},"op":"u","ts_ms":3}'),
+        (3, '{"before":{"id":1,"name":"reef","age":4},"after":null,"op":"d","ts_ms":4}'),
     ]
     row = spark.createDataFrame([], "id int, name string, age int").schema
     df = spark.createDataFrame(messages, "seq long, value string")
     out = changelog.apply_envelopes(changelog.read_envelopes(df, "value", row), "id", "seq")
-    assert rows(out, "id", "name", "age") == [(2, "lisi", 20)]
+    assert rows(out, "id", "name", "age") == [(2, "sandbar", 10)]
 
 
 def test_watermark_trace(spark):
@@ -101,10 +101,10 @@ def test_late_classes(spark):
 
 
 def test_enrichment_of_both_roles(spark):
-    people = spark.createDataFrame([("186", "zs"), ("187", "ls")], "phone string, name string")
-    df = spark.createDataFrame([("186", "187"), ("187", "199")], "call_out string, call_in string")
+    people = spark.createDataFrame([("51", "reef"), ("52", "shoal")], "phone string, name string")
+    df = spark.createDataFrame([("51", "52"), ("52", "60")], "call_out string, call_in string")
     out = joins.lookup_roles(df, people, "phone", {"caller": ("call_out", "name"), "callee": ("call_in", "name")})
-    assert rows(out, "caller", "callee") == [("ls", ""), ("zs", "ls")]
+    assert rows(out, "caller", "callee") == [("reef", "shoal"), ("shoal", "")]
 
 
 def test_interval_ends(spark):
@@ -154,3 +154,23 @@ def test_side_outputs(spark):
     df = spark.createDataFrame([("success",), ("fail",)], "c string")
     _, out = transforms.split_outputs(df, {"main": F.col("c") == "success", "other": F.lit(True)})
     assert rows(out["main"]) == [("success",)] and rows(out["other"]) == [("fail",)]
+
+
+def test_integer_average_cuts_towards_zero(spark):
+    df = spark.createDataFrame([("a", -3), ("a", -4), ("b", 2**60 + 1), ("c", None)], "k string, x long")
+    assert rows(df.groupBy("k").agg(udfs.integer_average("x").alias("v"))) == [("a", -3), ("b", 2**60 + 1), ("c", None)]
+
+
+def test_lines_keep_nulls_and_bad_numbers_in_place(spark):
+    schema = "sid string, call_out string, call_in string, call_type string, call_time bigint, duration bigint"
+    df = spark.createDataFrame([("s1", None, "52", "fail", 7, None), (None, "51", None, None, None, 3)], schema)
+    assert rows(files.parse_calls(files.call_lines(df))) == rows(df)
+    lines = spark.createDataFrame([("a,b,c,d,1,2",), ("a,b",), ("a,b,c,d,x,2",), ("a,b,c,d,,2",), (None,)], "value string")
+    assert rows(files.bad_lines(lines)) == [("a,b",), ("a,b,c,d,x,2",), (None,)] and files.parse_calls(lines).count() == 5
+
+
+def test_interval_joins_that_would_repeat_rows_are_refused(spark):
+    one = spark.createDataFrame([("a", 1)], "k string, t long")
+    for how in ("full", "right"):
+        with pytest.raises(ValueError):
+            joins.interval(one, one.withColumnRenamed("t", "u"), ["k"], "t", "u", -2, 2, how)

@@ -74,23 +74,34 @@ class TwoPhaseTable:
         return rows.join(commits.select("batch"), "batch", "left_semi").select(*self.schema.names)
 
 
+# partition columns and their formats, from coarse to fine; a unit has its own column and all coarser ones
+PARTS = (("day", "dt", "yyyyMMdd"), ("hour", "hr", "HH"), ("minute", "mm", "mm"), ("second", "ss", "ss"))
+
+
 class PartitionCommitter:
     """Write rows into time partitions and publish a partition once the watermark is `delay` past its end.
 
     The watermark of a batch is the largest event time seen up to it, minus the allowed disorder. Rows and the
-    watermark per batch are written as small tables; published partitions are a query over them.
+    watermark per batch are written as small tables; published partitions are a query over them. `unit` is the length of a
+    partition: day, hour, minute or second. `publish` also lists the finished partitions in a table of their own, for readers
+    that wait for a marker.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, ts: str, zone: str, unit: str = "hour") -> None:
+        units = [u for u, _, _ in PARTS]
+        if unit not in units:
+            raise ValueError(f"unit must be one of {units}")
         self.spark, self.path, self.schema = spark, path, schema
         self.ts, self.zone, self.unit = ts, zone, unit
+        self.parts = PARTS[: units.index(unit) + 1]
+        self.columns = [c for _, c, _ in self.parts]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         local = F.from_utc_timestamp(F.col(self.ts), self.zone)
-        parts = batch.withColumns({"dt": F.date_format(local, "yyyyMMdd"), "hr": F.date_format(local, "HH")})
+        parts = batch.withColumns({c: F.date_format(local, form) for _, c, form in self.parts})
         # rows of one partition together, but a large partition in several tasks
-        parts = parts.hint("rebalance", "dt", "hr")
-        parts.write.mode("overwrite").partitionBy("dt", "hr").parquet(f"{self.path}/rows/batch={batch_id}")
+        parts = parts.hint("rebalance", *self.columns)
+        parts.write.mode("overwrite").partitionBy(*self.columns).parquet(f"{self.path}/rows/batch={batch_id}")
         top = batch.agg(F.max(self.ts).alias("seen"))
         top.write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
 
@@ -99,10 +110,19 @@ class PartitionCommitter:
         stamp = self.schema[self.ts].dataType
         marks = read_batches(self.spark, f"{self.path}/marks", StructType().add("seen", stamp))
         limit = marks.agg((F.max("seen") - F.expr(f"INTERVAL {disorder}") - F.expr(f"INTERVAL {delay}")).alias("_l"))
-        layout = StructType([*self.schema.fields]).add("batch", "long").add("dt", "string").add("hr", "string")
+        layout = StructType([*self.schema.fields]).add("batch", "long")
+        for c in self.columns:
+            layout = layout.add(c, "string")
         rows = self.spark.read.schema(layout).parquet(f"{self.path}/rows")
-        end = F.to_utc_timestamp(F.to_timestamp(F.concat("dt", "hr"), "yyyyMMddHH"), self.zone) + F.expr(f"INTERVAL 1 {self.unit}")
-        return rows.where(end <= limit.scalar()).select(*self.schema.names, "dt", "hr")
+        start = F.to_timestamp(F.concat(*self.columns), "".join(form for _, _, form in self.parts))
+        end = F.to_utc_timestamp(start, self.zone) + F.expr(f"INTERVAL 1 {self.unit}")
+        return rows.where(end <= limit.scalar()).select(*self.schema.names, *self.columns)
+
+    def publish(self, disorder: str, delay: str) -> DataFrame:
+        """Write and return the list of finished partitions with their row counts."""
+        done = self.read(disorder, delay).groupBy(*self.columns).agg(F.count(F.lit(1)).alias("n"))
+        done.write.mode("overwrite").parquet(f"{self.path}/published")
+        return self.spark.read.schema(done.schema).parquet(f"{self.path}/published")
 
 
 def save_table(df: DataFrame, name: str, path: str, partition_by: list[str] | None = None) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -414,3 +415,16 @@ def test_jdbc_batches(spark):
     assert FakeTarget.sent[1] == [(1, 1, "y", 5), (2, 2, "z", 5)] and merged == [5]
     scan = JdbcTable("jdbc:some:url", "t", "id", 0, 100, 4)
     assert scan.options()["partitionColumn"] == "id" and scan.options()["numPartitions"] == "4"
+
+
+@pytest.mark.parametrize("unit, columns, published", [("minute", ["dt", "hr", "mm"], [0, 1]), ("second", ["dt", "hr", "mm", "ss"], [0, 1, 2])])
+def test_fine_partitions_are_published_when_they_end(spark, tmp_path, unit, columns, published):
+    start = datetime(2024, 1, 1, 0, 0, 10)
+    data = [(i, start + timedelta(seconds=s)) for i, s in enumerate([0, 20, 60, 64])]
+    df = spark.createDataFrame(data, "seq long, ts timestamp")
+    sink = file_sinks.PartitionCommitter(spark, str(tmp_path), df.schema, "ts", "UTC", unit)
+    sink(df, 0)
+    assert sorted(r.seq for r in sink.read("1 SECOND", "1 SECOND").collect()) == published
+    assert sink.publish("1 SECOND", "1 SECOND").columns == [*columns, "n"]
+    with pytest.raises(ValueError):
+        file_sinks.PartitionCommitter(spark, str(tmp_path), df.schema, "ts", "UTC", "week")

@@ -9,8 +9,9 @@ Bands of the signature are bucket keys. Links are found in two rounds:
 
 1. Each bucket has a leader, the member that shares most with other classes; members are verified against it. A family of near
    copies thus hangs together by linear many pairs.
-2. Members of a bucket that are still in different components are verified with each other, unless their signatures
-   rule a link out, so that no link between components is lost to the choice of leaders.
+2. Members of a bucket that are still in different components may be linked past its leader. Exact prefix and overlap bounds (see
+   `across`) leave few such pairs, also in large families of loosely similar texts, and these are verified too, so that no
+   link between components is lost to the choice of leaders.
 
 Verification intersects full shingle sets, fetched for classes in shared buckets only. Hot buckets and hot classes sit on
 the large side of plain equi-joins, which AQE splits; all counting is map-side aggregation; components never leave Spark.
@@ -42,6 +43,9 @@ CHUNK = 1 << 17
 # of 128 slots two sets of similarity 0.75 share 96 on average, with a deviation under 4.9: 6.5 deviations below that
 MIN_SHARED_SLOTS = 64
 
+# in the second round, elements of at most so many open sets are join keys
+RARE = 64
+
 NODE_SALTS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 
 
@@ -182,6 +186,42 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").where(enough).select("u", "v")
 
 
+def across(open_members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, rare: int = RARE) -> DataFrame:
+    """Pairs (u, v) of different components that can reach `percent`, for members (bucket, node, root) of buckets with several components.
+
+    Elements are ordered by the number of open sets that have them. Two similar sets share an element in the prefix that a set of
+    size n has beyond n * percent / 100, or else they share nothing but elements of more than `rare` sets. The first kind is found
+    by a join on prefix elements, of at most `rare` sets each; for the second, both sets must have enough common elements to
+    reach the overlap alone, and members of a bucket outside its largest component meet the bucket's other components.
+    """
+    nodes = cut(open_members.select("node", "root").distinct().join(sizes, "node"), "open-nodes")
+    elements = nodes.join(sets, "node").select("node", F.explode("elements").alias("element"))
+    shares = elements.groupBy("element").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
+    held = elements.join(shares, "element").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("held"))
+    held = cut(held.join(nodes, "node"), "held")
+    # elements that no other open set has come first in every prefix; they are counted, not stored
+    own = F.col("n") - F.size("held")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
+    some = F.slice("held", F.lit(1), F.greatest(prefix - own, F.lit(0)).cast("int"))
+    prefixes = held.select("node", "root", "n", F.explode(F.filter(some, lambda e: e["df"] <= rare)).alias("e")).select(F.col("e.element").alias("element"), "node", "root", "n")
+
+    def named(df: DataFrame, x: str) -> DataFrame:
+        return df.withColumnsRenamed({"node": x, "root": f"r{x}", "n": f"n{x}", "common": f"c{x}"})
+
+    long_enough = F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent
+    by_prefix = named(prefixes, "u").join(named(prefixes, "v"), "element").where((F.col("ru") > F.col("rv")) & long_enough).select("u", "v")
+
+    common = F.size(F.filter("held", lambda e: e["df"] > rare))
+    capable = held.select("node", "n", common.alias("common")).where(F.col("common") * 100 >= F.col("n") * percent)
+    members = open_members.join(capable, "node")
+    largest = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("members")).groupBy("bucket").agg(F.max(F.struct("members", "root"))["root"].alias("largest"))
+    outside = members.join(largest, "bucket").where("root <> largest").drop("largest")
+    reach = F.least("cu", "cv") * (100 + percent) >= percent * (F.col("nu") + F.col("nv"))
+    by_bucket = named(outside, "u").join(named(members, "v"), "bucket").where((F.col("ru") != F.col("rv")) & reach).select("u", "v")
+    pairs = by_prefix.unionByName(by_bucket)
+    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of `documents`: key, text_hash, n_shingles, component_id (the smallest key of its component) and
     first_hash (the text_hash of the first row that has it, so key and hash name the component's first row).
@@ -218,8 +258,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     placed = shared.select("bucket", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed_buckets = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
     open_members = cut(placed.join(mixed_buckets, "bucket"), "open")
-    one, other = open_members.select("bucket", F.col("node").alias("u"), F.col("root").alias("ru")), open_members.select("bucket", F.col("node").alias("v"), F.col("root").alias("rv"))
-    second = one.join(other, "bucket").where("ru > rv").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    second = across(open_members, known.select("node", "n"), sets, percent)
     second = possible(second, known, percent).join(first, ["u", "v"], "left_anti")
     more = cut(verified(second, sets, percent), "second-links")
     if not more.isEmpty():

@@ -30,6 +30,11 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def fits(df: DataFrame, row_bytes: Column, limit: int) -> bool:
+    """Whether `df` is measured to be small enough for a broadcast."""
+    return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= limit
+
+
 def numbered(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     """Rows in the global order of `order`, with `_task` and `_at`: the row's number is `_at` plus the rows of all earlier tasks.
 

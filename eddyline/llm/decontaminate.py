@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import join_null_safe, let, lower_ascii, text_hash
+from eddyline.llm.common import LOWER, UPPER, fits, join_null_safe, let, lower_ascii, text_hash
 from eddyline.llm.registry import query, table
 from eddyline.session import cut
 
@@ -86,11 +86,6 @@ def positions_of(rows: DataFrame, sizes: list[int]) -> DataFrame:
     return every
 
 
-def fits(df: DataFrame, row_bytes: Column) -> bool:
-    """Whether `df` is measured to be small enough for a broadcast."""
-    return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= MAX_BROADCAST_BYTES
-
-
 def occurrences(documents: DataFrame, windows: DataFrame, size: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """(key, text_hash, start, n, window): every occurrence of every distinct window; `documents` has key, text_hash, text."""
     tokens = cut(tokens_of(windows.select("window", "n").distinct(), shingle), "tokens")
@@ -99,7 +94,7 @@ def occurrences(documents: DataFrame, windows: DataFrame, size: int = WINDOW, sh
     rows = documents.select("key", "text_hash", words_of(F.col("text")).alias("words"))
 
     seen = positions_of(rows.select("words"), sizes).select("token")
-    if fits(distinct, F.lit(64)):
+    if fits(distinct, F.lit(64), MAX_BROADCAST_BYTES):
         counts = seen.join(F.broadcast(distinct), "token").groupBy("token").agg(F.count(F.lit(1)).alias("corpus"))
     else:
         counts = seen.groupBy("token").agg(F.count(F.lit(1)).alias("corpus")).join(distinct, "token")
@@ -111,7 +106,7 @@ def occurrences(documents: DataFrame, windows: DataFrame, size: int = WINDOW, sh
     near = F.slice("words", F.greatest(F.col("at") - reach, F.lit(0)) + 1, 2 * reach + shingle).alias("near")
     every = positions_of(rows.withColumn("n_words", F.size("words")), sizes)
     columns = ["key", "text_hash", "n_words", "at", "token"]
-    if fits(prefixes, F.octet_length("window") + 128):
+    if fits(prefixes, F.octet_length("window") + 128, MAX_BROADCAST_BYTES):
         # generated positions are joined within one compiled stage: `words` is a reference, copied for matches only
         joined = every.join(F.broadcast(prefixes), "token").select(*columns, "window", "n", "offset", near)
     else:
@@ -159,7 +154,23 @@ def contamination(
     )
 
 
-@query("op2_decontaminate")
+WORDS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL = f"""WITH d AS (SELECT doc_id, {WORDS_SQL} AS ws FROM documents),
+  b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS ws FROM benchmark),
+  c AS (SELECT item, least(len(ws), {WINDOW}) AS n, ws FROM b WHERE len(ws) > 0),
+  w AS (SELECT DISTINCT item, n, unnest(list_transform(range(len(ws) - n + 1), lambda i: array_to_string(ws[i + 1:i + n], ' '))) AS win FROM c),
+  s AS (SELECT DISTINCT n FROM w),
+  p AS (SELECT doc_id, n, unnest(list_transform(range(len(ws) - n + 1), lambda i: {{'pos': i, 'win': array_to_string(ws[i + 1:i + n], ' ')}})) AS x
+    FROM d, s WHERE len(ws) >= n),
+  f AS (SELECT doc_id, p.n, x.pos AS pos, item FROM p JOIN w ON x.win = w.win AND p.n = w.n),
+  h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS pos FROM f) GROUP BY doc_id),
+  i AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM f GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN i ON d.doc_id = i.doc_id"""
+
+
+@query("op2_decontaminate", SQL)
 def op2_decontaminate(spark, sf_dir):
     """All documents against all benchmark items; see `contamination`."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -31,11 +31,17 @@ def call_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def call_files(spark: SparkSession, sf: str) -> str:
-    """Write the call log as text files and return their folder."""
-    path = work_path(spark, "call-log")
-    files.call_lines(call_rows(spark, sf)).write.text(path)
-    return path
+    """The folder of the call log as text files, written once per application."""
+    key = (spark.conf.get("spark.app.id"), sf)
+    if key not in _WRITTEN:
+        path = work_path(spark, "call-log")
+        files.call_lines(call_rows(spark, sf)).write.text(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
 @query("src_text_batch", calls_sql(f"""SELECT sid || ',' || call_out || ',' || call_in || ',' || call_type || ',' || call_time || ',' || duration AS value

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import canonical
 from eddyline.operators import blocks
-from eddyline.plans import catalog, inputs
+from eddyline.plans import catalog
 
 QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
@@ -34,14 +34,10 @@ def test_oracle(spark, sf, oracle, name):
 
 
 @pytest.mark.parametrize("name", [n for n in sorted(ORACLES) if n.startswith(BLOCKED)])
-@pytest.mark.parametrize("cut", ["multiples", "quantiles"])
-def test_oracle_with_many_blocks(spark, sf, oracle, name, cut, monkeypatch):
-    """About half of the users count as hot."""
+def test_oracle_with_many_blocks(spark, sf, oracle, name, monkeypatch):
+    """About half of the users count as hot and are cut at quantiles; fixed widths are covered by test_plans and test_brute_force."""
     monkeypatch.setattr(blocks, "HOT_ROWS", 66)
-    if cut == "multiples":
-        monkeypatch.setattr(inputs, "WIDTHS", {"event_id": 53, "t": 5 * inputs.HOUR})
-    else:
-        monkeypatch.setattr(blocks, "EDGE_SAMPLES", 66)
+    monkeypatch.setattr(blocks, "EDGE_SAMPLES", 66)
     check(spark, sf, oracle, name)
 
 

@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it to the shared folder and reads it again as the next
 stage's input. All stages but the last return the columns of `documents`. A stage's decisions are a narrow table keyed by the row's values; it is
-written first, so Spark knows its size and broadcasts it only below its own limit, else joins by shuffle.
+written first, measured, and broadcast only up to `MAX_BROADCAST_BYTES`; beyond that the join shuffles the documents.
 
 Nulls in any column, empty texts, repeated rows and empty tables pass through: see the docstring of each stage.
 """
@@ -10,14 +10,15 @@ Nulls in any column, empty texts, repeated rows and empty tables pass through: s
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.llm import decontaminate, language, near_dup, packing, secrets
-from eddyline.llm.common import join_null_safe, text_hash
+from eddyline.llm.common import fits, join_null_safe, text_hash
 from eddyline.session import cut, prepare, work_path
 
 TOKENIZER = "word_bpe_49k.json"
+MAX_BROADCAST_BYTES = 8 << 20
 
 # language likelihoods, signatures and tokenizers are beyond SQL; tests/llm compares run() with a brute-force version
 ORACLE_SQL = None
@@ -27,13 +28,19 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text_hash", text_hash(F.col("text")))
 
 
+def _decided(rows: DataFrame, label: str, row_bytes: Column | None = None) -> DataFrame:
+    """`rows` written once, for a join with the documents."""
+    rows = cut(rows, label)
+    return F.broadcast(rows) if fits(rows, F.lit(64) if row_bytes is None else row_bytes, MAX_BROADCAST_BYTES) else rows
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID. Documents without a recognised language go: no letters (null texts too), or explained by no language with
     the needed confidence. Rows that repeat are judged alike and all stay or all go."""
     names = ["doc_id", "text_hash", "lang", "source"]
     ids = _named(docs).select("doc_id", "text_hash", F.col("lang").alias("own_lang"), "source", "text", F.col("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))
     judged = language.identify(ids)
-    rejected = cut(judged.where(~F.col("kept")).select("doc_id", "text_hash", F.col("own_lang").alias("lang"), "source").distinct(), "rejected")
+    rejected = _decided(judged.where(~F.col("kept")).select("doc_id", "text_hash", F.col("own_lang").alias("lang"), "source").distinct(), "rejected")
     return join_null_safe(_named(docs), rejected, names, "left_anti").select(docs.columns)
 
 
@@ -43,7 +50,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     names = ["doc_id", "text_hash"]
     found = cut(near_dup.near_duplicates(docs), "components").withColumnRenamed("key", "doc_id")
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
-    gone = cut(found.where(~first).select(names).distinct(), "gone")
+    gone = _decided(found.where(~first).select(names).distinct(), "gone")
     copies = cut(found.where(first & (F.col("n_shingles") > 0)).groupBy(names).count().where("count > 1").select(names), "copies")
     stay = join_null_safe(_named(docs), gone, names, "left_anti")
     if not copies.isEmpty():
@@ -56,7 +63,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Benchmark decontamination. Documents in which a benchmark window occurs go; documents without words stay."""
     names = ["doc_id", "text_hash"]
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = cut(found.where("n_hit > 0").select(F.col("key").alias("doc_id"), "text_hash").distinct(), "hit")
+    hit = _decided(found.where("n_hit > 0").select(F.col("key").alias("doc_id"), "text_hash").distinct(), "hit")
     return join_null_safe(_named(docs), hit, names, "left_anti").select(docs.columns)
 
 
@@ -66,7 +73,7 @@ def redact_live_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     names = ["doc_id", "text_hash", "source", "lang"]
     found = secrets.scan(docs, *secrets.by_source(docs))
     live = found.select(F.col("key").alias("doc_id"), "text_hash", F.col("owner").alias("source"), F.col("repository").alias("lang"), F.filter("spans", lambda s: s["verdict"] == "live").alias("live"))
-    live = cut(live.where(F.size("live") > 0).dropDuplicates(names), "live")
+    live = _decided(live.where(F.size("live") > 0).dropDuplicates(names), "live", 128 + 64 * F.size("live"))
     text = F.when(F.col("live").isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col("live")))
     marked = join_null_safe(_named(docs), live, names, "left").withColumn("text", text)
     return marked.withColumn("n_chars", F.when(F.col("live").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(docs.columns)

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import join_null_safe, text_hash
+from eddyline.llm.common import LOWER, UPPER, fits, join_null_safe, text_hash
 from eddyline.llm.components import components
 from eddyline.llm.registry import query, table
 from eddyline.llm.textbytes import WORD_BASE, Texts, mixed, slices, windows
@@ -39,6 +39,8 @@ BANDS = 32
 PERCENT = 75
 LEVEL_BITS = np.uint64(48)
 CHUNK = 1 << 17
+# classes in shared buckets are looked up by a broadcast up to this measured size, by a shuffle beyond
+MAX_BROADCAST_BYTES = 8 << 20
 
 # of 128 slots two sets of similarity 0.75 share 96 on average, with a deviation under 4.9: 6.5 deviations below that
 MIN_SHARED_SLOTS = 64
@@ -172,7 +174,10 @@ def full_sets(documents: DataFrame, wanted: DataFrame, key: str, text: str) -> D
                 yield pa.RecordBatch.from_arrays([_binary(node_ids(owner, h, part.n), np.ones(part.n, bool)), lists], ["node", "elements"])
 
     texts = documents.select(F.col(key).alias("key"), text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    held = join_null_safe(texts, wanted.select("key", "text_hash").distinct(), ["key", "text_hash"]).select("text")
+    places = cut(wanted.select("key", "text_hash").distinct(), "places")
+    if fits(places, F.lit(64), MAX_BROADCAST_BYTES):
+        places = F.broadcast(places)  # else the texts are shuffled
+    held = join_null_safe(texts, places, ["key", "text_hash"]).select("text")
     # equal rows of a document give equal sets
     return held.mapInArrow(run, "node binary, elements array<long>").dropDuplicates(["node"])
 
@@ -281,7 +286,20 @@ def possible(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return sized.where(same >= MIN_SHARED_SLOTS).select("u", "v")
 
 
-@query("op8_minhash_near_dup")
+SQL = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+  e AS (SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(len(ws) - {SHINGLE - 1}, 1)), lambda i: array_to_string(ws[i + 1:i + {SHINGLE}], ' '))) AS x
+    FROM d WHERE len(ws) > 0),
+  n AS (SELECT doc_id, count(*) AS n FROM e GROUP BY doc_id),
+  l AS (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+    JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    GROUP BY u, v, na.n, nb.n HAVING 100 * count(*) >= {PERCENT} * (na.n + nb.n - count(*))),
+  r AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u),
+  c AS (SELECT u, min(v) AS v FROM r GROUP BY u)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(v, d.doc_id)) AS component_id, coalesce(v, d.doc_id) >= d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.u = d.doc_id"""
+
+
+@query("op8_minhash_near_dup", SQL)
 def op8_minhash_near_dup(spark, sf_dir):
     """Components of all documents at similarity 0.75; see `near_duplicates`."""
     found = near_duplicates(table(spark, sf_dir, "documents"))

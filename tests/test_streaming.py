@@ -428,3 +428,10 @@ def test_fine_partitions_are_published_when_they_end(spark, tmp_path, unit, colu
     assert sink.publish("1 SECOND", "1 SECOND").columns == [*columns, "n"]
     with pytest.raises(ValueError):
         file_sinks.PartitionCommitter(spark, str(tmp_path), df.schema, "ts", "UTC", "week")
+
+
+def test_rolling_files_hold_every_call(spark, sf):
+    got = stream_queries.sink_rolling_file(spark, sf).cache()
+    want = inputs.calls(spark, sf).select(files.delimited(["seq", "sid", "call_type", "duration"]).alias("value"))
+    assert rows(got, "value") == rows(want)
+    assert got.where("bounded AND enough").count() == got.count() == inputs.table(spark, sf, "events").count()

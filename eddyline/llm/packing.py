@@ -1,12 +1,13 @@
 """Best-fit packing by hierarchical residuals.
 
-Every task tokenizes its documents and packs the pieces best-fit, longest first. Bins that are nearly full are final. An
-underfull bin becomes an item itself (its pieces stay together, its size is its fill) and goes up a tree: each round deals the
-underfull bins to a few times fewer tasks, where whole bins are combined best-fit again. Full-length pieces are bins of
-their own and never move; an item is a number and a list of small piece records, so texts and ids never move either.
-
-A task of a round gets about `MERGE_ITEMS` items, so its memory has a bound at every size. Rounds end when one task held all
-items, or when a round closed too few bins to pay for another.
+Documents are tokenized where they lie and the piece records written. The first round deals them by a hash of their number, so every
+task has a fair share of all lengths however the table is ordered, and packs them best-fit, longest first. Bins that are nearly
+full are final. An underfull bin becomes an item itself (its pieces stay together, its size is its fill) and goes up a tree: each
+further round deals the underfull bins to a few times fewer tasks, where whole bins are combined best-fit again. Full-length pieces are
+bins of their own and never move; an item is a number and a list of small piece records, so texts and ids never move either.
+
+A task of the first round gets about `FIRST_ITEMS` pieces, of a further one about `MERGE_ITEMS` items, so its memory has a bound at every
+size. Rounds end when one task held all items, or when a round closed too few bins to pay for another.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.llm.registry import query, table
@@ -31,6 +32,7 @@ from eddyline.session import cut
 CAPACITY = 4096
 END_ID = 1
 NEARLY_FULL = 0.998
+FIRST_ITEMS = 10_000
 MERGE_ITEMS = 200_000
 FAN_IN = 8
 MIN_GAIN = 0.002
@@ -159,8 +161,8 @@ def in_parts(batch: pa.RecordBatch, rows: int = 5_000) -> Iterator[pa.RecordBatc
         yield batch.slice(a, rows)
 
 
-def piece_packer(encode_with: str, capacity: int, end_id: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Tokenize (key, text) batches, cut longer documents, pack the rest locally."""
+def piece_lister(encode_with: str, capacity: int, end_id: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Tokenize (key, text) batches and cut longer documents: rows as of `pack_items`, each piece a bin of its own."""
     end = b"" if end_id is None else np.uint32(end_id).tobytes()
 
     def pieces_of(texts: list[str]) -> tuple[list, ...]:
@@ -173,7 +175,7 @@ def piece_packer(encode_with: str, capacity: int, end_id: int | None) -> Callabl
         return row, piece, start, length, crc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        structs: list[pa.Array] = []
+        number = np.int64(TaskContext.get().partitionId()) << 32
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
@@ -182,11 +184,10 @@ def piece_packer(encode_with: str, capacity: int, end_id: int | None) -> Callabl
                 row, *columns = pieces_of([t or "" for t in texts.slice(a, b - a).to_pylist()])
                 types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 arrays = [keys.slice(a, b - a).take(pa.array(row, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, types))]
-                structs.append(pa.StructArray.from_arrays(arrays, ["key", "piece", "start", "length", "crc"]))
-        if structs:
-            every = pa.concat_arrays(structs)
-            items = pa.ListArray.from_arrays(pa.array(np.arange(len(every) + 1, dtype=np.int32)), every)
-            yield from in_parts(pack_items(items, every.field("length").to_numpy(), capacity, 1))
+                found = pa.StructArray.from_arrays(arrays, ["key", "piece", "start", "length", "crc"])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32)), found)
+                yield from in_parts(pa.RecordBatch.from_arrays([pa.array(number + np.arange(len(found))), found.field("length"), lists], ["bin", "fill", "pieces"]))
+                number += len(found)
 
     return run
 
@@ -211,6 +212,7 @@ def pack(
     nearly_full: float = NEARLY_FULL,
     merge_items: int = MERGE_ITEMS,
     fan_in: int = FAN_IN,
+    first_items: int = FIRST_ITEMS,
 ) -> DataFrame:
     """Rows (key, piece, start, length, ids_crc32, sequence_id, offset), one per piece of at most `capacity` ids.
 
@@ -220,25 +222,28 @@ def pack(
     record = PIECE.format(key=dict(documents.dtypes)[key])
     schema = f"bin bigint, fill bigint, pieces array<{record}>"
     texts = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    is_open = F.col("fill") < int(capacity * nearly_full)
 
-    def settled(packed: DataFrame, stage: int) -> tuple[DataFrame, int, int, int]:
-        """The written bins of a round, how many there are, how many of them are open, and how many tasks made them."""
+    def is_open(stage: int) -> Column:
+        return F.col("fill") < (int(capacity * nearly_full) if stage else capacity)
+
+    def settled(packed: DataFrame, stage: int) -> tuple[DataFrame, int, int]:
+        """The written bins of a round, how many there are, and how many of them are open."""
         bins = cut(packed, f"bins-{stage}")
-        return bins, *bins.agg(F.count(F.lit(1)), F.count_if(is_open), F.count_distinct(F.shiftright("bin", 32))).first()
+        return bins, *bins.agg(F.count(F.lit(1)), F.count_if(is_open(stage))).first()
 
-    stage = 1
-    bins, _, left, tasks = settled(texts.mapInArrow(piece_packer(tokenizer, capacity, end_id), schema), stage)
+    stage = 0
+    bins, _, left = settled(texts.mapInArrow(piece_lister(tokenizer, capacity, end_id), schema), stage)
     done = []
-    while tasks > 1 and left > 1:
-        done.append(bins.where(~is_open))
+    tasks = -(-left // min(first_items, merge_items))
+    while left > 1:
+        done.append(bins.where(~is_open(stage)))
+        dealt = bins.where(is_open(stage)).repartition(tasks, F.xxhash64(F.lit(stage), "bin"))
         stage += 1
-        tasks = max(-(-tasks // fan_in), -(-left // merge_items))
-        dealt = bins.where(is_open).repartition(tasks, F.xxhash64(F.lit(stage), "bin"))
         before = left
-        bins, after, left, _ = settled(dealt.mapInArrow(bin_merger(capacity, stage), schema), stage)
-        if before - after < MIN_GAIN * before and tasks <= -(-before // merge_items):
+        bins, after, left = settled(dealt.mapInArrow(bin_merger(capacity, stage), schema), stage)
+        if tasks == 1 or (stage > 1 and before - after < MIN_GAIN * before and tasks <= -(-before // merge_items)):
             break
+        tasks = max(-(-tasks // fan_in), -(-left // merge_items))
     done.append(bins)
     every = done[0]
     for more in done[1:]:

@@ -168,6 +168,15 @@ def test_packing(docs, plain, merge_items):
     assert used <= bound * 1.05 + (1 if merge_items > 40 else 4)
 
 
+def test_packing_of_a_table_clustered_by_length(spark):
+    """Short documents of some partitions fill the gaps beside the long ones of others."""
+    tokens = F.when(F.col("id") < 10_000, 130 + F.col("id") % 95).otherwise(9 + F.col("id") % 60).cast("int")
+    some = spark.range(0, 30_000, 1, 16).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), tokens).alias("text"))
+    got = packing.pack(some, TOKENIZER, capacity=256).select("length", "sequence_id").toPandas()
+    assert len(got) == 30_000 and got.groupby("sequence_id")["length"].sum().max() <= 256
+    assert got["sequence_id"].nunique() <= 1.01 * (packing.best_fit(got["length"].to_numpy(), 256).max() + 1)
+
+
 def test_packing_odd_tables(repeated_rows, nothing):
     got = packing.pack(repeated_rows, TOKENIZER).collect()
     assert len(got) == 8 and sum(r.doc_id is None for r in got) == 2

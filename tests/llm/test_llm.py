@@ -199,6 +199,26 @@ def test_quality(docs, plain, repeated_rows, nothing):
     assert quality.rate(nothing).count() == 0
 
 
+def test_quality_limits_bind_beyond_the_base_rule(spark):
+    """Texts of words of one length that pass the base rule and exceed one limit each."""
+    numbers = iter(range(100_000, 200_000))
+    fresh = lambda n: [f"{next(numbers)}" for _ in range(n)]
+
+    def twice(length, passages, total):
+        """`passages` passages of `length` words, each twice, and single words between them up to `total`."""
+        kept, words = [fresh(length) for _ in range(passages)], []
+        for p in kept + kept:
+            words += p + fresh((total - 2 * length * passages) // (2 * passages))
+        return " ".join(words)
+
+    lines = "\n".join("\n".join(["again again2", " ".join(fresh(10))]) for _ in range(10))
+    some = [("dup_5gram_share", twice(5, 3, 180)), ("dup_7gram_share", twice(7, 1, 98)), ("dup_10gram_share", twice(10, 1, 166)), ("dup_line_share", lines), (None, twice(5, 1, 180))]
+    limits = {**{f"dup_{n}gram_share": x for n, x in quality.MAX_SHARE.items()}, "dup_line_share": quality.MAX_LINE_SHARE}
+    for r in quality.rate(frame(spark, list(enumerate(t for _, t in some)))).collect():
+        over = [c for c, x in limits.items() if r[c] > x]
+        assert not r.base_failed and over == [c for c, _ in some[r.doc_id : r.doc_id + 1] if c] and r.kept == (not over)
+
+
 def test_long_prefixes_against_plain_comparison():
     rnd = random.Random(2)
     for least in (1, 2, 3, 7):

@@ -347,6 +347,22 @@ def test_secrets_by_ownership(spark):
     assert spark.range(1).select(secrets.redacted(F.lit("é234567890"), spans_, "#")).first()[0] == "é#78#0"
 
 
+def test_long_tokens_are_secrets(spark):
+    """Opaque tokens of any length are found whole, counted by owner and marked."""
+    rnd = random.Random(8)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    tokens = ["".join(rnd.choice(signs) for _ in range(n)) + "gA7" for n in (197, 198, 700, 50_000)]
+    some = [(i, f"é {t} end", f"s{i}") for i, t in enumerate(tokens)] + [(10 + i, f"é {tokens[2]}x end", f"s{i}") for i in range(3)]
+    df = spark.createDataFrame([(i, t, None, s) for i, t, s in some], "doc_id long, text string, lang string, source string")
+    text = spark.createDataFrame([(i, t) for i, t, _ in some], "key long, text string")
+    got = secrets.scan(df, *secrets.by_source(df)).join(text, "key").withColumn("marked", secrets.redacted(F.col("text"), F.col("spans"))).collect()
+    for r in got:
+        if r.key < 10:
+            assert [(s.kind, s.start, s.end, s.verdict, s.n_owners) for s in r.spans] == [("opaque", 2, 2 + len(tokens[r.key]), "live", 1)] and r.marked == "é [SECRET] end"
+        else:
+            assert r.spans == []
+
+
 def test_queries_give_the_agreed_columns(spark, sf):
     want = {
         "op1_url_filter": "page_id bigint host string path string rule string verdict string",

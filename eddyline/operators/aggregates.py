@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.operators.blocks import Width, running
+from eddyline.operators.scans import Columns, Monoid
 
 
 def min_field(df: DataFrame, key: str, field: str, order: str, companions: Sequence[str]) -> DataFrame:
@@ -52,3 +54,27 @@ def as_maps(pairs: DataFrame, outer: str, inner: str, value: str, out: str = "to
     """Render pair rows as one map per outer key; only for keys known to have few inner keys."""
     entries = F.sort_array(F.collect_list(F.struct(inner, value)))
     return pairs.groupBy(outer).agg(F.map_from_entries(entries).alias(out))
+
+
+def call_summary() -> Monoid:
+    """For `scans.reduce_by_key`, from rows (seq, sid, duration): the sum of durations, the longest call (the earliest of several) and the last two callers.
+
+    A reduce that depends on the rows' order and keeps parts of whole rows, which no single built-in aggregate does.
+    """
+
+    def lift(rows: Columns) -> Columns:
+        n = len(rows["seq"])
+        return {"total": rows["duration"], "longest_seq": rows["seq"], "longest": rows["duration"], "last_but_one": np.full(n, None, object), "last": rows["sid"].astype(object)}
+
+    def combine(first: Columns, then: Columns) -> Columns:
+        later = then["longest"] > first["longest"]
+        alone = then["last_but_one"] == None  # noqa: E711  (elementwise)
+        return {
+            "total": first["total"] + then["total"],
+            "longest_seq": np.where(later, then["longest_seq"], first["longest_seq"]),
+            "longest": np.where(later, then["longest"], first["longest"]),
+            "last_but_one": np.where(alone, first["last"], then["last_but_one"]),
+            "last": then["last"],
+        }
+
+    return Monoid("total bigint, longest_seq bigint, longest bigint, last_but_one string, last string", lift, combine)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions import udfs
-from eddyline.operators import aggregates, overs
+from eddyline.operators import aggregates, overs, scans
 from eddyline.plans.catalog import query
 from eddyline.plans.inputs import DAY, calls, calls_sql, seq_width, table, time_width
 
@@ -58,9 +58,17 @@ def agg_max_by(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.max_row(calls(spark, sf).select("seq", "sid", "call_in", "call_type", "duration"), "sid", "duration", "seq")
 
 
-@query("agg_reduce", calls_sql("SELECT call_type, CAST(sum(duration) AS BIGINT) AS total FROM calls GROUP BY call_type"))
+@query(
+    "agg_reduce",
+    calls_sql(""", r AS (SELECT *, row_number() OVER (PARTITION BY call_type ORDER BY seq DESC) AS back FROM calls)
+      SELECT call_type, CAST(sum(duration) AS BIGINT) AS total, arg_max(seq, (duration, -seq)) AS longest_seq, max(duration) AS longest,
+             concat_ws('>', max(sid) FILTER (WHERE back = 2), max(sid) FILTER (WHERE back = 1)) AS last_two FROM r GROUP BY call_type"""),
+)
 def agg_reduce(spark: SparkSession, sf: str) -> DataFrame:
-    return calls(spark, sf).groupBy("call_type").agg(F.sum("duration").alias("total"))
+    """The whole log of each call state as one row: the sum, the longest call, and the callers of the last two calls in their order."""
+    log = calls(spark, sf).select("call_type", "seq", F.col("sid").cast("string").alias("sid"), "duration")
+    found = scans.reduce_by_key(log, ["call_type"], aggregates.call_summary(), ["seq", "sid", "duration"], order=["seq"])
+    return found.select("call_type", "total", "longest_seq", "longest", F.concat_ws(">", "last_but_one", "last").alias("last_two"))
 
 
 @query("agg_avg_keyed", calls_sql("SELECT sid, CAST(sum(duration) AS DOUBLE) / count(duration) AS average FROM calls GROUP BY sid"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.operators import joins
+from eddyline.operators import joins, pairing
 from eddyline.plans.catalog import query
 from eddyline.plans.inputs import DAY, HOUR, calls, calls_sql, table, time_width
 
@@ -187,15 +187,24 @@ def join_temporal_for_system_time(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("seq", "sid", "t", "price")
 
 
-@query(
-    "join_order_pay_timeout",
-    calls_sql(f""", o AS (SELECT * FROM calls WHERE call_type = 'busy'), p AS (SELECT * FROM calls WHERE call_type = 'success')
-      SELECT 'unpaid' AS alert, sid, seq, t FROM o WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.sid = o.sid AND abs(p.t - o.t) <= {DAY})
-      UNION ALL SELECT 'no_order' AS alert, sid, seq, t FROM p WHERE NOT EXISTS (SELECT 1 FROM o WHERE p.sid = o.sid AND abs(p.t - o.t) <= {DAY})"""),
-)
+# the slot of each key, row by row: what waits after the row, and what waited in vain before it
+SLOTS_SQL = f"""{{body}}, e AS (SELECT sid, seq, t, call_type AS kind, row_number() OVER (PARTITION BY sid ORDER BY t, seq) AS rn FROM calls WHERE call_type IN ('busy', 'success')),
+  m AS (
+    SELECT sid, rn, kind AS w_kind, seq AS w_seq, t AS w_t, NULL AS lost_kind, NULL::BIGINT AS lost_seq, NULL::BIGINT AS lost_t FROM e WHERE rn = 1
+    UNION ALL
+    SELECT e.sid, e.rn, CASE WHEN pair THEN NULL ELSE e.kind END, CASE WHEN pair THEN NULL ELSE e.seq END, CASE WHEN pair THEN NULL ELSE e.t END,
+           CASE WHEN late THEN w_kind END, CASE WHEN late THEN w_seq END, CASE WHEN late THEN w_t END
+    FROM (SELECT m.*, e.t - m.w_t > {DAY} AS late, coalesce(m.w_kind <> e.kind AND e.t - m.w_t <= {DAY}, false) AS pair FROM m JOIN e ON e.sid = m.sid AND e.rn = m.rn + 1) m
+    JOIN e ON e.sid = m.sid AND e.rn = m.rn + 1),
+  lost AS (
+    SELECT sid, lost_kind AS kind, lost_seq AS seq, lost_t AS t FROM m WHERE lost_kind IS NOT NULL
+    UNION ALL SELECT sid, w_kind, w_seq, w_t FROM m WHERE w_kind IS NOT NULL AND NOT EXISTS (SELECT 1 FROM e WHERE e.sid = m.sid AND e.rn = m.rn + 1))
+  SELECT CASE kind WHEN 'busy' THEN 'unpaid' ELSE 'no_order' END AS alert, sid, seq, t FROM lost"""
+
+
+@query("join_order_pay_timeout", calls_sql(SLOTS_SQL.format(body=""), recursive=True))
 def join_order_pay_timeout(spark: SparkSession, sf: str) -> DataFrame:
-    orders = calls(spark, sf, "busy").select("sid", "seq", "t")
-    pays = calls(spark, sf, "success").select("sid", "seq", "t")
-    unpaid = joins.interval(orders, pays, ["sid"], "t", "t", -DAY, DAY, "left_anti")
-    no_order = joins.interval(pays, orders, ["sid"], "t", "t", -DAY, DAY, "left_anti")
-    return unpaid.select(F.lit("unpaid").alias("alert"), "*").unionByName(no_order.select(F.lit("no_order").alias("alert"), "*"))
+    """Orders (busy) and payments (success) meet one to one; who waits longer than a day is reported."""
+    rows = calls(spark, sf, "busy", "success").select("sid", "seq", "t", "call_type")
+    lost = pairing.unpaired(rows, ["sid"], "t", "seq", F.col("call_type") == "busy", DAY)
+    return lost.select(F.when(F.col("is_left"), "unpaid").otherwise("no_order").alias("alert"), "sid", "seq", "t")

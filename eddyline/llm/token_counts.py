@@ -1,6 +1,6 @@
 """Token counts of whole texts: pieces are counted once per distinct pre-token and summed over each document's pre-token frequencies.
 
-First pass: each task lists its distinct pre-tokens with the number of documents that hold them; grouped over the corpus, every distinct
+First pass: each task lists its distinct pre-tokens with their occurrences; grouped over the corpus, every distinct
 pre-token reaches the tokenizer's model once. Second pass: each document's pre-token frequencies meet the piece counts. The most frequent
 pre-tokens (a bounded number, see `lookup`) are handed to the tasks, all others are joined by a shuffle. Ids of a document never exist.
 
@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 from eddyline.llm.lookup import HEAD, head_from, in_head
 from eddyline.llm.packing import BYTE_LETTERS
-from eddyline.llm.ragged import Words, as_lists, flat, gather, sums, words_of
+from eddyline.llm.ragged import Words, as_lists, flat, gather, offsets_of, sums, words_of
 from eddyline.llm.registry import query, table
 from eddyline.session import cut
 
 LIMIT = 512
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 LONGEST_KEY = 64
 
 # fixed values: how the byte-level tokenizer splits a text
@@ -51,13 +51,16 @@ class Counter:
             raise ValueError("added tokens that look at their neighbours are not handled")
         self.added = regex.compile("|".join(regex.escape(t.content) for t in added)) if added else None
 
-    def pre_tokens(self, word: str) -> tuple[list[str], int]:
-        """(pre-tokens, added tokens) of a word. An added token in a text is one token and parts what stands around it."""
-        if self.added and (found := len(self.added.findall(word))):
-            return [p for part in self.added.split(word) for p in self.pre_tokens(part)[0]], found
-        if word.isascii() or not UNKNOWN.search(word):
-            return PRE_TOKENS.findall(word), 0
-        return [word[a:b] for _, (a, b) in self.split(word)], 0
+    def pre_tokens(self, words: list[str]) -> tuple[list[list[str]], list[int]]:
+        """The pre-tokens, and the number of added tokens, of each word. An added token in a text is one token and parts what stands around it."""
+        every = "".join(words)
+        if self.added and self.added.search(every):
+            parts = [self.added.split(w) for w in words]
+            found = [self.pre_tokens(p)[0] for p in parts]
+            return [[t for part in f for t in part] for f in found], [len(p) - 1 for p in parts]
+        if every.isascii() or not UNKNOWN.search(every):
+            return list(map(PRE_TOKENS.findall, words)), [0] * len(words)
+        return [[w[a:b] for _, (a, b) in self.split(w)] if UNKNOWN.search(w) else PRE_TOKENS.findall(w) for w in words], [0] * len(words)
 
     def pieces(self, pre_token: str) -> int:
         return len(self.tokenizer.model.tokenize("".join(map(BYTE_LETTERS.__getitem__, pre_token.encode()))))
@@ -69,45 +72,51 @@ def key_of(pre_token: str) -> bytes:
     return raw if len(raw) <= LONGEST_KEY else b"\xff" + hashlib.sha256(raw).digest()
 
 
-class Frequencies:
-    """Pre-token frequencies of some texts: text i holds distinct[code[k]] times[k] times for k in first[i]:first[i + 1]."""
+class PreTokens:
+    """The pre-tokens of some texts: word w of `words` has distinct[k] for k in its list of codes."""
 
     def __init__(self, counter: Counter, words: Words):
-        split = [counter.pre_tokens(w.decode()) for w in words.distinct.to_pylist()]
+        self.words = words
+        split, self.added = counter.pre_tokens(words.distinct.cast(pa.large_string()).to_pylist())
         codes: dict[str, int] = {}
-        values, offsets = flat([[codes.setdefault(p, len(codes)) for p in found] for found, _ in split])
+        new = codes.setdefault
+        self.codes, self.offsets = flat([[new(p, len(codes)) for p in found] for found in split])
         self.distinct = list(codes)
-        self.added = sums(np.array([n for _, n in split], np.int64)[words.codes], words.first)
-        every, begin = gather(values, offsets, words.codes)
-        n = len(words.first) - 1
-        text = np.repeat(np.arange(n), np.diff(begin[words.first]))
-        pair, self.times = np.unique(text * max(1, len(codes)) + every, return_counts=True)
-        self.code = pair % max(1, len(codes))
-        self.first = np.searchsorted(pair, np.arange(n + 1) * max(1, len(codes)))
+
+    def occurrences(self) -> np.ndarray:
+        times = np.bincount(self.words.codes, minlength=len(self.words.distinct))
+        return np.bincount(self.codes, np.repeat(times, np.diff(self.offsets)), len(self.distinct)).astype(np.int64)
+
+    def frequencies(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first, code, times, added): text i holds distinct[code[k]] times[k] times for k in first[i]:first[i + 1], and `added` tokens."""
+        first, n = self.words.first, max(1, len(self.distinct))
+        every, begin = gather(self.codes, self.offsets, self.words.codes)
+        texts = np.arange(len(first))
+        pair, times = np.unique(np.repeat(texts[:-1], np.diff(begin[first])) * n + every, return_counts=True)
+        return np.searchsorted(pair, texts * n), pair % n, times, sums(np.array(self.added, np.int64)[self.words.codes], first)
 
 
 def distinct_lister(path: str) -> Callable[[Batches], Batches]:
-    """(pre_token, n_docs) of a part of the texts at a time."""
+    """(pre_token, times) of a part of the texts at a time."""
 
     def run(batches: Batches) -> Batches:
         counter = Counter(path)
         for batch in batches:
             for _, _, words in words_of(batch.column(0), SLICE_BYTES):
-                found = Frequencies(counter, words)
-                docs = np.bincount(found.code, minlength=len(found.distinct))
-                yield pa.RecordBatch.from_arrays([pa.array(found.distinct, pa.string()), pa.array(docs, pa.int64())], ["pre_token", "n_docs"])
+                found = PreTokens(counter, words)
+                yield pa.RecordBatch.from_arrays([pa.array(found.distinct, pa.string()), pa.array(found.occurrences())], ["pre_token", "times"])
 
     return run
 
 
 def piece_counter(path: str) -> Callable[[Batches], Batches]:
-    """(key, pieces, n_docs) of distinct pre-tokens."""
+    """(key, pieces, times) of distinct pre-tokens."""
 
     def run(batches: Batches) -> Batches:
         counter = Counter(path)
         for batch in batches:
             tokens = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(map(key_of, tokens), pa.binary()), pa.array(map(counter.pieces, tokens), pa.int64()), batch.column(1)], ["key", "pieces", "n_docs"])
+            yield pa.RecordBatch.from_arrays([pa.array(map(key_of, tokens), pa.binary()), pa.array(map(counter.pieces, tokens), pa.int64()), batch.column(1)], ["key", "pieces", "times"])
 
     return run
 
@@ -119,13 +128,14 @@ def document_counter(path: str, head) -> Callable[[Batches], Batches]:
         counter, known = Counter(path), head.value
         for batch in batches:
             for at, n, words in words_of(batch.column(2), SLICE_BYTES):
-                found = Frequencies(counter, words)
-                keys = [key_of(p) for p in found.distinct]
-                pieces = np.fromiter((known.get(k, -1) for k in keys), np.int64, len(keys))[found.code]
+                found = PreTokens(counter, words)
+                first, code, times, added = found.frequencies()
+                keys = list(map(key_of, found.distinct))
+                pieces = np.fromiter((known.get(k, -1) for k in keys), np.int64, len(keys))[code]
                 rest = pieces < 0
-                tokens = sums(np.where(rest, 0, pieces) * found.times, found.first) + found.added
-                more = pa.StructArray.from_arrays([pa.array(keys, pa.binary()).take(pa.array(found.code[rest])), pa.array(found.times[rest], pa.int64())], ["key", "times"])
-                lists = as_lists(more, np.concatenate([[0], np.cumsum(rest)])[found.first])
+                tokens = sums(np.where(rest, 0, pieces) * times, first) + added
+                more = pa.StructArray.from_arrays([pa.array(keys, pa.binary()).take(pa.array(code[rest])), pa.array(times[rest], pa.int64())], ["key", "times"])
+                lists = as_lists(more, offsets_of(rest)[first])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(tokens), lists], ["key", "n_bytes", "known", "more"])
 
     return run
@@ -140,12 +150,12 @@ def token_counts(documents: DataFrame, tokenizer: str, key: str = "doc_id", text
     the memory that the tokenizer itself needs for it.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    listed = documents.select(body.alias("text")).mapInArrow(distinct_lister(tokenizer), "pre_token string, n_docs bigint")
-    grouped = listed.groupBy("pre_token").agg(F.sum("n_docs").alias("n_docs"))
-    pieces = cut(grouped.mapInArrow(piece_counter(tokenizer), "key binary, pieces bigint, n_docs bigint"), "pieces")
+    listed = documents.select(body.alias("text")).mapInArrow(distinct_lister(tokenizer), "pre_token string, times bigint")
+    grouped = listed.groupBy("pre_token").agg(F.sum("times").alias("times"))
+    pieces = cut(grouped.mapInArrow(piece_counter(tokenizer), "key binary, pieces bigint, times bigint"), "pieces")
 
-    least = head_from(pieces, "n_docs", head)
-    frequent = in_head("n_docs", least)
+    least = head_from(pieces, "times", head)
+    frequent = in_head("times", least)
     spark = documents.sparkSession
     few = pieces.where(frequent).select("key", "pieces").toArrow()
     known = spark.sparkContext.broadcast(dict(zip(few.column("key").to_pylist(), few.column("pieces").to_pylist())))

@@ -4,7 +4,7 @@ A window partitioned by the key alone sends every row of that key to one task, w
 key holds a large share of the table. Here the ordered rows of every hot key are cut into blocks of the ordering
 column, and windows are partitioned by (key, block); all other keys are one block each.
 
-* `blocked` - assigns the blocks. A key with enough rows in a hashed sample is cut at quantiles of the ordering column, so bursts,
+* `cut_into_blocks` - assigns the blocks, or finds that no key needs them: then all operators below are plain windows, without a second pass. A key with enough rows in a hashed sample is cut at quantiles of the ordering column, so bursts,
   gaps and outliers don't matter: a block holds about `HOT_ROWS` rows. All edges together are at most (rows of the table /
   HOT_ROWS) numbers, so they are broadcast. With an explicit width, keys of more than `HOT_ROWS` rows are cut at its multiples.
 * `running` - running aggregates. Of the hot keys, one small row per (key, block) is aggregated first, the block totals are
@@ -27,14 +27,27 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eddyline.session import cut
+
 BLOCK = "_block"
 CONTEXT = "_context"
 HOT = "_hot"
 HOT_ROWS = 8_000_000  # more rows than one task should sort
 EDGE_SAMPLES = 32  # sampled rows per block: block sizes stay within a factor of two
+ROW_BYTES = 4  # a row of a table takes at least so many
 Width = Column | int | None  # None: quantile edges
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether `df` is known to have fewer than `HOT_ROWS` rows, so that no key can be hot: by Spark's own estimate of its size, without a job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < HOT_ROWS * ROW_BYTES
+
+
+def once(df: DataFrame, label: str) -> DataFrame:
+    """`df` for another ordered pass: written first if that pass reads it several times."""
+    return df if is_small(df) else cut(df, label)
+
+
 def auto_width(base: DataFrame, position: str, target_rows: int | None = None) -> Column:
     """Block width under which all keys together have about `target_rows` rows per block.
 
@@ -80,20 +93,28 @@ def _edge_below(edges: Column, position: Column) -> Column:
 
 def blocked(df: DataFrame, keys: Sequence[str], position: str, width: Width) -> DataFrame:
     """Add `_block` and `_hot`. Without keys the whole input counts as one hot key."""
+    return cut_into_blocks(df, keys, position, width)[0]
+
+
+def cut_into_blocks(df: DataFrame, keys: Sequence[str], position: str, width: Width) -> tuple[DataFrame, bool]:
+    """`df` with `_block` and `_hot`, and whether any key has more than one block.
+
+    The edges are found once and written (at most rows / `HOT_ROWS` numbers), so a pass over the result does not sample again.
+    """
     if width is None:
-        found = quantile_edges(df, keys, position)
+        if is_small(df) or (found := cut(quantile_edges(df, keys, position), "edges")).isEmpty():
+            return df.withColumns({BLOCK: F.lit(0).cast("long"), HOT: F.lit(False)}), False
         if not keys:
-            none = F.array().cast("array<bigint>")
-            marked = df.withColumn("_edges", F.coalesce(found.scalar(), none)).withColumn(HOT, F.lit(True))
+            marked = df.withColumn("_edges", found.scalar()).withColumn(HOT, F.lit(True))
         else:
             same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
             hot = found.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_edges", F.lit(True).alias(HOT))
             marked = df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{k}" for k in keys])
         block = F.when(F.col(HOT), _edge_below(F.col("_edges"), F.col(position).cast("long"))).otherwise(F.lit(0).cast("long"))
-        return marked.withColumn(BLOCK, block).drop("_edges")
+        return marked.withColumn(BLOCK, block).drop("_edges"), True
     start = block_start(F.col(position), width)
     if not keys:
-        return df.withColumns({BLOCK: start, HOT: F.lit(True)})
+        return df.withColumns({BLOCK: start, HOT: F.lit(True)}), True
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -102,7 +123,7 @@ def blocked(df: DataFrame, keys: Sequence[str], position: str, width: Width) ->
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
     marked = df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{k}" for k in keys])
-    return marked.withColumn(BLOCK, F.when(F.col(HOT), start).otherwise(F.lit(0).cast("long")))
+    return marked.withColumn(BLOCK, F.when(F.col(HOT), start).otherwise(F.lit(0).cast("long"))), True
 
 
 def block_window(keys: Sequence[str], order: Sequence[str], reverse: bool = False) -> WindowSpec:
@@ -168,7 +189,10 @@ def running(
     """
     kinds = {name: kind for name, (kind, _) in outputs.items()}
     values = {f"_v_{name}": expr for name, (_, expr) in outputs.items()}
-    rows = blocked(df, keys, order[0], width).withColumns(values)
+    rows, split = cut_into_blocks(df, keys, order[0], width)
+    rows = rows.withColumns(values)
+    if not split:
+        return _in_one_window(rows, keys, order, kinds, exclusive, reverse, peers).drop(BLOCK, HOT, *values)
 
     # every block of a key needs its entry, also one without a value of its own
     totals = rows.where(HOT).groupBy(*keys, BLOCK).agg(
@@ -202,6 +226,14 @@ def running(
     )
 
 
+def _in_one_window(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], kinds: Mapping[str, str], exclusive: bool, reverse: bool, peers: bool
+) -> DataFrame:
+    inside = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if reverse else F.col(c).asc() for c in order])
+    inside = inside.rangeBetween(Window.unboundedPreceding, 0) if peers else inside.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    return rows.select("*", *[_over(kind, F.col(f"_v_{n}"), inside).alias(n) for n, kind in kinds.items()])
+
+
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -216,8 +248,10 @@ def with_neighbours(
     Copies carry only `payload` and have `_context` set; compute over `block_window(keys, order)`, then call
     `own_rows`.
     """
-    rows = blocked(df, keys, order[0], width)
+    rows, split = cut_into_blocks(df, keys, order[0], width)
     parts = [rows.withColumn(CONTEXT, F.lit(False))]
+    if not split:
+        return parts[0]
     if before:
         parts.append(_edge_rows(rows, keys, order, payload, before, reverse=False))
     if after:
@@ -263,6 +297,8 @@ def with_time_context(
 
     The width is raised to the larger distance, so a row has at most three copies.
     """
+    if width is None and is_small(df):
+        return df.withColumns({BLOCK: F.lit(0).cast("long"), HOT: F.lit(False), CONTEXT: F.lit(False)})
     if width is None:
         width = auto_width(df, position)
     w = F.greatest(width if isinstance(width, Column) else F.lit(width), F.lit(before), F.lit(after), F.lit(1))

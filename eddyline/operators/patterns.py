@@ -14,8 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.operators.blocks import Width, block_window, own_rows, running, with_neighbours
+from eddyline.operators.blocks import Width, block_window, once, own_rows, running, with_neighbours
 from eddyline.operators.joins import interval
+from eddyline.operators.skips import PAST_LAST, resume_at, taken
 from eddyline.session import cut
 
 
@@ -176,9 +177,9 @@ def followed_by_consecutive(df: DataFrame, key: str, order: str, first: Column,
         F.when(~is_item, F.col(order)).alias("_breaks"),
     )
     # counted from the end: items so far, and that count at the nearest later row that is no item
-    numbered = cut(running(rows, [key], [order], {"_after": ("sum", F.col("_one"))}, width, reverse=True))
+    numbered = once(running(rows, [key], [order], {"_after": ("sum", F.col("_one"))}, width, reverse=True), "numbered")
     at_break = F.when(~F.col("_item"), F.col("_after"))
-    runs = cut(running(numbered, [key], [order], {"_base": ("last", at_break)}, width, reverse=True))
+    runs = once(running(numbered, [key], [order], {"_base": ("last", at_break)}, width, reverse=True), "runs")
     length = F.col("_after") - F.coalesce(F.col("_base"), F.lit(0))
     head = F.when(F.col("_item"), F.struct(F.col(order).alias("seq"), length.alias("n")))
     found = _with_next(runs.select(key, order, "_first", head.alias("_head")), key, order, "_run", F.col("_head"), width)
@@ -193,7 +194,7 @@ def followed_by_consecutive(df: DataFrame, key: str, order: str, first: Column,
 def _numbered_runs(df: DataFrame, key: str, order: str, t: str, item: Column, end: Column, width: Width) -> DataFrame:
     """Item rows with their running number and the next `end` row (seq, t, items before it)."""
     rows = df.select(*dict.fromkeys([key, order, t]), _flag(item).alias("_item"), _flag(end).alias("_end"))
-    numbered = cut(running(rows, [key], [order], {"_no": ("sum", F.col("_item").cast("long"))}, width))
+    numbered = once(running(rows, [key], [order], {"_no": ("sum", F.col("_item").cast("long"))}, width), "numbered")
     end_row = F.when(F.col("_end"), F.struct(F.col(order).alias("seq"), F.col(t).alias("t"), F.col("_no").alias("no")))
     found = _with_next(numbered.withColumn("_row", end_row), key, order, "_next", F.col("_row"), width)
     return found.where(F.col("_item")).select(key, order, t, "_no", "_next")
@@ -250,21 +251,32 @@ def skip_strategies(df: DataFrame, key: str, order: str, t: str, item: Column, e
 
 
 def run_then_within(
-    df: DataFrame, key: str, order: str, t: str, item: Column, end: Column, within: int, width: Width
+    df: DataFrame, key: str, order: str, t: str, item: Column, end: Column, within: int, width: Width, skip: str = PAST_LAST
 ) -> DataFrame:
-    """Strict `item`+ `end` within a time, skipping past the last row: (key, start_seq, end_seq, n).
+    """Strict `item`+ `end` within a time: (key, start_seq, end_seq, n).
 
-    Of a run of items directly before an end row, the match starts at the earliest item less than `within` before it.
+    A match takes a run of items directly before an end row, from any of its items less than `within` before that row. Past the last row, and to
+    the end row ("to last end"), the match from the earliest of them is the only one of an end row; the conditions exclude each other. Other
+    clauses: "to next row", "to first item" and "to last item" as in `skips.resume_at`.
     """
     is_item = _flag(item)
-    stop = F.when(~is_item, F.struct(F.col(order).alias("seq"), F.col(t).alias("t"), _flag(end).alias("ok")))
-    rows = df.select(*dict.fromkeys([key, order, t]), is_item.alias("_item"), stop.alias("_row"))
-    found = _with_next(rows, key, order, "_stop", F.col("_row"), width).where(F.col("_item") & F.col("_stop.ok"))
-    return (
-        found.where(F.col("_stop.t") - F.col(t) < within)
-        .groupBy(key, F.col("_stop.seq").alias("end_seq"))
-        .agg(F.min(order).alias("start_seq"), F.count(F.lit(1)).alias("n"))
-    )
+    if skip in (PAST_LAST, "to last end", "to first end"):
+        plain = F.when(~is_item, F.struct(F.col(order).alias("seq"), F.col(t).alias("t"), _flag(end).alias("ok")))
+        found = _with_next(df.select(*dict.fromkeys([key, order, t]), is_item.alias("_item"), plain.alias("_row")), key, order, "_stop", F.col("_row"), width)
+        found = found.where(F.col("_item") & F.col("_stop.ok") & (F.col("_stop.t") - F.col(t) < within))
+        return found.groupBy(key, F.col("_stop.seq").alias("end_seq")).agg(F.min(order).alias("start_seq"), F.count(F.lit(1)).alias("n"))
+    counts = {"_before": ("sum", F.col("_item").cast("long")), "_prev": ("last", F.col(order))}
+    rows = df.select(*dict.fromkeys([key, order, t]), is_item.alias("_item"), _flag(end).alias("_is_end"))
+    numbered = once(running(rows, [key], [order], counts, width, exclusive=True), "numbered")
+    row = F.when(~F.col("_item"), F.struct(F.col(order).alias("seq"), F.col(t).alias("t"), F.col("_is_end").alias("ok"), F.coalesce("_before", F.lit(0)).alias("no"), F.col("_prev").alias("prev")))
+    found = _with_next(numbered.withColumn("_row", row), key, order, "_stop", F.col("_row"), width)
+    matches = found.where(F.col("_item") & F.col("_stop.ok") & (F.col("_stop.t") - F.col(t) < within)).select(
+        key, F.col(order).alias("start_seq"), F.col("_stop.seq").alias("end_seq"),
+        (F.col("_stop.no") - F.coalesce("_before", F.lit(0))).alias("n"), F.col("_stop.prev").alias("_last_item"),
+    )
+    start = F.col("start_seq")
+    resume = resume_at(skip, start, F.col("end_seq"), {"item": start}, {"item": F.col("_last_item")})
+    return taken(matches, key, "start_seq", resume, width).drop("_last_item")
 
 
 def reluctant(
@@ -294,13 +306,33 @@ def reluctant(
     from_prev = F.coalesce(F.col("_prev_c.a"), F.lit(False)) & (prev >= floor)
     decided = F.when(_flag(own_start), 1).when(~from_prev, 0)
     number = F.coalesce(F.col("_before"), F.lit(0))
-    numbered = cut(ends.select(key, order, *measures, number.alias("_no"), decided.alias("_decided")))
+    numbered = once(ends.select(key, order, *measures, number.alias("_no"), decided.alias("_decided")), "ends")
     fixed = F.when(F.col("_decided").isNotNull(), F.struct(F.col("_no").alias("no"), F.col("_decided").alias("v")))
     known = running(numbered, [key], [order], {"_fixed": ("last", fixed)}, width)
     matched = F.pmod(F.col("_fixed.v") + F.col("_no") - F.col("_fixed.no"), F.lit(2)) == 1
     return known.where(matched).select(key, F.col(order).alias("end_seq"), *measures)
 
 
+def reluctant_from_any(
+    df: DataFrame, key: str, order: str, a: Column, b: Column, c: Column, measures: Sequence[str], width: Width, skip: str
+) -> DataFrame:
+    """Strict `A B*? C` under any skip clause: key, start_seq, end_seq and measures of C. Conditions may overlap.
+
+    From an A row the match goes to the next C row if all rows between are B rows. "to next row", "to first C" and "to last C" as in
+    `skips.resume_at`; past the last row this gives the matches of `reluctant`, which needs no row per A.
+    """
+    seq = F.col(order)
+    rows = df.select(*dict.fromkeys([key, order, *measures]), _flag(a).alias("_a"), _flag(b).alias("_b"), _flag(c).alias("_c"))
+    end = F.struct(seq.alias("seq"), *measures)
+    looks = {"_end": ("last", F.when(F.col("_c"), end)), "_not_b": ("last", F.when(~F.col("_b"), seq))}
+    ahead = running(rows, [key], [order], looks, width, exclusive=True, reverse=True)
+    reaches = F.col("_end").isNotNull() & (F.coalesce("_not_b", F.lit(2**63 - 1)) >= F.col("_end.seq"))
+    matches = ahead.where(F.col("_a") & reaches).select(key, seq.alias("start_seq"), F.col("_end.seq").alias("end_seq"), *[F.col(f"_end.{m}").alias(m) for m in measures])
+    places = {"A": F.col("start_seq"), "C": F.col("end_seq")}
+    resume = resume_at(skip, F.col("start_seq"), F.col("end_seq"), places, places)
+    return taken(matches, key, "start_seq", resume, width)
+
+
 def average_below(df: DataFrame, key: str, order: str, value: str, limit: int, width: Width) -> DataFrame:
     """Strict `A+ B` where the average of the A rows stays below `limit` and B is the row that breaks it; skip past last row.
 
@@ -312,10 +344,10 @@ def average_below(df: DataFrame, key: str, order: str, value: str, limit: int, w
     before = {"_p": ("sum", F.col("_x")), "_no": ("sum", F.lit(1).cast("long")), "_prev": ("last", F.col(order))}
     sums = running(rows, [key], [order], before, width, exclusive=True)
     q = F.coalesce("_p", F.lit(0)) + F.col("_x") - (F.coalesce("_no", F.lit(0)) + 1) * limit
-    levels = cut(sums.select(key, order, "_x", "_prev", q.alias("_q")))
+    levels = once(sums.select(key, order, "_x", "_prev", q.alias("_q")), "levels")
     tops = running(levels, [key], [order], {"_top": ("max", F.col("_q"))}, width, exclusive=True)
     breaks = F.col("_q") >= F.greatest(F.coalesce("_top", F.lit(0)), F.lit(0))
-    marked = cut(tops.select(key, order, "_x", "_prev", breaks.alias("_break")))
+    marked = once(tops.select(key, order, "_x", "_prev", breaks.alias("_break")), "tops")
     # rows between two breaking rows, the later one included, share the sequence of the earlier one
     run_id = {"_run": ("last", F.when(F.col("_break"), F.col(order)))}
     runs = running(marked, [key], [order], run_id, width, exclusive=True).groupBy(key, "_run").agg(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.operators.anchored import anchored_windows
-from eddyline.operators.blocks import Width, block_window, own_rows, running, with_neighbours
+from eddyline.operators.blocks import Width, block_window, once, own_rows, running, with_neighbours
 from eddyline.session import cut
 
 
@@ -26,7 +26,7 @@ def expiring_total(df: DataFrame, key: str, order: str, t: str, value: str, ttl:
     so_far = F.coalesce("_sum", F.lit(0))
     fresh = F.coalesce(F.col(t) - F.col("_last") >= ttl, F.lit(True))
     # a total is the running sum minus the running sum where it last started again
-    sums = cut(seen.select(*rows.columns, (so_far + F.col(value)).alias("_sum"), F.when(fresh, so_far).alias("_start")))
+    sums = once(seen.select(*rows.columns, (so_far + F.col(value)).alias("_sum"), F.when(fresh, so_far).alias("_start")), "sums")
     kept = running(sums, [key], [order], {"_base": ("last", F.col("_start"))}, width)
     return kept.withColumn(out, F.col("_sum") - F.col("_base")).select(key, order, t, value, out)
 

@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.operators.blocks import BLOCK, Width, block_start, blocked, running
+from eddyline.operators.blocks import BLOCK, HOT, Width, block_start, cut_into_blocks, once, running
 from eddyline.session import cut
 
 
@@ -33,19 +33,25 @@ def _flat(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def sessions(df: DataFrame, keys: Sequence[str], t: str, gap: Column, value: Column, width: Width) -> DataFrame:
     """Session windows on an integer time column: rows (keys, t_start, t_end, total, n).
 
-    An event at exactly the gap distance joins the session. `gap` may depend on the row. Sessions are first
-    built inside (key, block), so a hot key is spread over its blocks; the partial sessions, of which a key has at most one per
-    gap and block, are then merged per key.
+    An event at exactly the gap distance joins the session. `gap` may depend on the row. Sessions are
+    built inside (key, block), so a hot key is spread over its blocks; only the partial sessions of hot keys are then merged, of
+    which such a key has at most one per gap and block.
     """
     gap_interval = F.make_interval(secs=((F.col("_gap_end") - F.col("_t")) / 1_000_000).cast("decimal(18,6)"))
     rows = df.select(*keys, F.col(t).alias("_t"), (F.col(t) + gap).alias("_gap_end"), value.alias("_x"))
+    laid, split = cut_into_blocks(rows, keys, "_t", width)
+    own = [*keys, BLOCK, HOT] if split else [*keys]
     parts = (
-        blocked(rows, keys, "_t", width)
-        .withColumn("_at", F.timestamp_micros("_t"))
-        .groupBy(*keys, BLOCK, F.session_window("_at", gap_interval).alias("_s"))
+        laid.withColumn("_at", F.timestamp_micros("_t"))
+        .groupBy(*own, F.session_window("_at", gap_interval).alias("_s"))
         .agg(F.min("_t").alias("_from"), F.max("_gap_end").alias("_to"), F.sum("_x").alias("_total"), F.count(F.lit(1)).alias("_n"))
     )
-    return merge_sessions(parts, keys)
+    whole = [*keys, F.col("_from").alias("t_start"), F.col("_to").alias("t_end"), F.col("_total").alias("total"), F.col("_n").alias("n")]
+    if not split:
+        return parts.select(*whole)
+    written = cut(parts.withColumn(HOT, F.coalesce(HOT, F.lit(False))).drop("_s"), "sessions")
+    merged = merge_sessions(written.where(HOT).drop(HOT, BLOCK), keys)
+    return written.where(~F.col(HOT)).select(*whole).unionByName(merged)
 
 
 def merge_sessions(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,9 +61,9 @@ def merge_sessions(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     whole table (without keys) is one task.
     """
     order = ["_from", "_to"]
-    seen = running(cut(parts, "sessions"), keys, order, {"_reach": ("max", F.col("_to"))}, None, exclusive=True)
+    seen = running(parts, keys, order, {"_reach": ("max", F.col("_to"))}, None, exclusive=True)
     opens = F.when(F.col("_from") <= F.col("_reach"), 0).otherwise(1).cast("long")
-    opened = cut(seen.withColumn("_opens", opens).drop("_reach"), "openings")
+    opened = once(seen.withColumn("_opens", opens).drop("_reach"), "openings")
     return (
         running(opened, keys, order, {"_id": ("sum", F.col("_opens"))}, None)
         .groupBy(*keys, "_id")

@@ -190,7 +190,7 @@ def join_temporal_for_system_time(spark: SparkSession, sf: str) -> DataFrame:
 # the slot of each key, row by row: what waits after the row, and what waited in vain before it
 SLOTS_SQL = f"""{{body}}, e AS (SELECT sid, seq, t, call_type AS kind, row_number() OVER (PARTITION BY sid ORDER BY t, seq) AS rn FROM calls WHERE call_type IN ('busy', 'success')),
   m AS (
-    SELECT sid, rn, kind AS w_kind, seq AS w_seq, t AS w_t, NULL AS lost_kind, NULL::BIGINT AS lost_seq, NULL::BIGINT AS lost_t FROM e WHERE rn = 1
+    SELECT sid, rn, kind AS w_kind, seq AS w_seq, t AS w_t, NULL::VARCHAR AS lost_kind, NULL::BIGINT AS lost_seq, NULL::BIGINT AS lost_t FROM e WHERE rn = 1
     UNION ALL
     SELECT e.sid, e.rn, CASE WHEN pair THEN NULL ELSE e.kind END, CASE WHEN pair THEN NULL ELSE e.seq END, CASE WHEN pair THEN NULL ELSE e.t END,
            CASE WHEN late THEN w_kind END, CASE WHEN late THEN w_seq END, CASE WHEN late THEN w_t END

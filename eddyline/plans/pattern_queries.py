@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.operators import patterns
+from eddyline.operators.skips import NEXT_ROW, PAST_LAST
 from eddyline.plans.catalog import query
 from eddyline.plans.inputs import DAY, calls, calls_sql, seq_width
 
@@ -178,34 +179,45 @@ def mr_fixed_count(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "mr_within",
     calls_sql(f""", s AS (SELECT *, min(CASE WHEN call_type <> 'fail' THEN seq END) OVER (PARTITION BY sid ORDER BY seq
-        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop FROM calls)
-      SELECT s.sid, b.seq AS end_seq, min(s.seq) AS start_seq, count(*) AS n FROM s JOIN calls b ON b.seq = s.stop
-      WHERE s.call_type = 'fail' AND b.call_type = 'success' AND b.t - s.t < {DAY} GROUP BY ALL"""),
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop FROM calls),
+      m AS (SELECT s.sid, b.seq AS end_seq, s.seq AS start_seq FROM s JOIN calls b ON b.seq = s.stop
+        WHERE s.call_type = 'fail' AND b.call_type = 'success' AND b.t - s.t < {DAY}),
+      c AS (SELECT *, count(*) OVER (PARTITION BY sid, end_seq ORDER BY start_seq DESC) AS n, min(start_seq) OVER (PARTITION BY sid, end_seq) AS head FROM m)
+      SELECT 'past last row' AS skip, sid, end_seq, start_seq, n FROM c WHERE start_seq = head
+      UNION ALL SELECT 'to next row' AS skip, sid, end_seq, start_seq, n FROM c"""),
 )
 def mr_within(spark: SparkSession, sf: str) -> DataFrame:
-    return patterns.run_then_within(_rows(spark, sf), "sid", "seq", "t", _is("fail"), _is("success"), DAY, seq_width(spark, sf))
+    """A+ B WITHIN a day under two skip clauses."""
+    rows, width = _rows(spark, sf), seq_width(spark, sf)
+    found = [patterns.run_then_within(rows, "sid", "seq", "t", _is("fail"), _is("success"), DAY, width, c).withColumn("skip", F.lit(c)) for c in (PAST_LAST, NEXT_ROW)]
+    return found[0].unionByName(found[1])
 
 
 @query(
     "mr_reluctant",
     calls_sql(
         """, r AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY seq) AS rn FROM calls),
-      st AS (SELECT sid, rn, seq, t, duration, CASE WHEN duration > 10 THEN 1 ELSE 0 END AS open, false AS hit FROM r WHERE rn = 1
+      st AS (SELECT skip, sid, rn, seq, t, duration, CASE WHEN duration > 10 THEN seq END AS start_seq, NULL::BIGINT AS hit
+          FROM r, (VALUES ('past last row'), ('to last C')) AS v(skip) WHERE rn = 1
         UNION ALL
-        SELECT r.sid, r.rn, r.seq, r.t, r.duration,
-          CASE WHEN st.open = 1 AND r.duration > 12 THEN 0 WHEN st.open = 1 AND r.duration < 15 THEN 1
-               WHEN r.duration > 10 THEN 1 ELSE 0 END AS open,
-          st.open = 1 AND r.duration > 12 AS hit
+        SELECT st.skip, r.sid, r.rn, r.seq, r.t, r.duration,
+          CASE WHEN st.start_seq IS NOT NULL AND r.duration > 12 THEN CASE WHEN st.skip = 'to last C' THEN r.seq END
+               WHEN st.start_seq IS NOT NULL AND r.duration < 15 THEN st.start_seq
+               WHEN r.duration > 10 THEN r.seq END AS start_seq,
+          CASE WHEN r.duration > 12 THEN st.start_seq END AS hit
         FROM st JOIN r ON r.sid = st.sid AND r.rn = st.rn + 1)
-      SELECT sid, seq AS end_seq, t, duration FROM st WHERE hit""",
+      SELECT skip, sid, hit AS start_seq, seq AS end_seq, t, duration FROM st WHERE hit IS NOT NULL""",
         recursive=True,
     ),
 )
 def mr_reluctant(spark: SparkSession, sf: str) -> DataFrame:
-    x = F.col("duration")
-    return patterns.reluctant(
-        _rows(spark, sf, "duration"), "sid", "seq", x > 10, x < 15, x > 12, ["t", "duration"], seq_width(spark, sf)
-    )
+    """A B*? C under two skip clauses; every C row is an A row as well, so a search that goes on at C starts with it."""
+    x, rows, width = F.col("duration"), _rows(spark, sf, "duration"), seq_width(spark, sf)
+    found = [
+        patterns.reluctant_from_any(rows, "sid", "seq", x > 10, x < 15, x > 12, ["t", "duration"], width, c).withColumn("skip", F.lit(c))
+        for c in (PAST_LAST, "to last C")
+    ]
+    return found[0].unionByName(found[1])
 
 
 @query(

@@ -7,7 +7,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.functions import udfs
+from eddyline.functions import udfs, user
 from eddyline.operators import aggregates, overs, scans
 from eddyline.plans.catalog import query
 from eddyline.plans.inputs import DAY, calls, calls_sql, seq_width, table, time_width
@@ -214,27 +214,33 @@ def udf_concat(spark: SparkSession, sf: str) -> DataFrame:
     calls_sql("SELECT sid, CAST(sum(duration) AS DOUBLE) / count(duration) AS average, CAST(sum(duration) // count(duration) AS BIGINT) AS int_average FROM calls GROUP BY sid"),
 )
 def udaf_avg(spark: SparkSession, sf: str) -> DataFrame:
-    return calls(spark, sf).groupBy("sid").agg(
-        udfs.average("duration").alias("average"), udfs.integer_average("duration").alias("int_average")
-    )
+    """An average written by a user: accumulators of (sum, count) are merged by key."""
+    return user.aggregate(calls(spark, sf).select("sid", "duration"), ["sid"], user.Average("duration"), ["duration"])
 
 
 @query(
     "udtf_split",
-    calls_sql(", s AS (SELECT seq, unnest(string_split(call_type || '|' || sid, '|')) AS word FROM calls) SELECT seq, word, CAST(length(word) AS INTEGER) AS length FROM s"),
+    calls_sql(""", c AS (SELECT seq, CASE WHEN call_type <> 'busy' THEN call_type || '|' || sid END AS strs FROM calls),
+      s AS (SELECT seq, unnest(string_split(strs, '|')) AS word FROM c WHERE strs IS NOT NULL)
+      SELECT 'inner' AS form, seq, word, CAST(length(word) AS INTEGER) AS length FROM s
+      UNION ALL SELECT 'left' AS form, seq, word, CAST(length(word) AS INTEGER) AS length FROM c LEFT JOIN s USING (seq)"""),
 )
 def udtf_split(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.concat("call_type", F.lit("|"), F.col("sid").cast("string")).alias("strs")
-    return udfs.split_bar(calls(spark, sf).select("seq", text), "strs").drop("strs")
+    """A table function joined to its own row, inner and left; busy calls have no text, so only the left join has them."""
+    text = F.when(F.col("call_type") != "busy", F.concat("call_type", F.lit("|"), F.col("sid").cast("string")))
+    rows = calls(spark, sf).select("seq", text.alias("strs"))
+    forms = [user.lateral(rows, user.split_words, ["strs"], user.SPLIT_SCHEMA, outer).select(F.lit(name).alias("form"), "seq", "word", "length") for name, outer in (("inner", False), ("left", True))]
+    return forms[0].unionByName(forms[1])
 
 
 @query(
     "udtaf_top2",
     calls_sql("""SELECT sid, duration, CAST(rn AS INTEGER) AS rank FROM (SELECT sid, duration, row_number() OVER
-      (PARTITION BY sid ORDER BY duration DESC) AS rn FROM calls) WHERE rn <= 2"""),
+      (PARTITION BY sid ORDER BY duration DESC) AS rn FROM calls WHERE duration IS NOT NULL) WHERE rn <= 2"""),
 )
 def udtaf_top2(spark: SparkSession, sf: str) -> DataFrame:
-    return overs.top_n(calls(spark, sf).select("sid", "duration"), ["sid"], 2, F.col("duration").desc())
+    """A table aggregate: an accumulator of the two largest values, a row for each."""
+    return user.aggregate(calls(spark, sf).select("sid", "duration"), ["sid"], user.Largest("duration", 2), ["duration"])
 
 
 @query("fn_rich_lifecycle", "SELECT event_id, upper(event_type) AS label FROM events")

@@ -216,43 +216,76 @@ class Timeouts(StatefulProcessor):
         pass
 
 
-class PartnerAlert(StatefulProcessor):
-    """Rows of two kinds that find no row of the other kind at most `within` away: (sid, seq, alert_t).
+class SlotAlert(StatefulProcessor):
+    """Rows of two kinds paired one to one: (sid, seq, alert_t) for those that waited `within` in vain; see `operators.pairing`.
 
-    A row stays in state until `within` has passed, so the state covers one such span per key.
+    The state is the one row that waits. Its timer is deleted when it is met or replaced, so only what is still there gives an alert.
     """
 
     def __init__(self, left: str, right: str, within: int) -> None:
-        self.other = {left: right, right: left}
-        self.within = within
+        self.kinds, self.within = (left, right), within
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "seq LONG", "t LONG, kind STRING, paired BOOLEAN")
+        self.slot = handle.getValueState("slot", "seq LONG, t LONG, kind STRING")
 
     def _due(self, t: int) -> int:
         return (t + self.within) // 1000 + 1
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        before = waiting = self.slot.get() if self.slot.exists() else None
         for r in _in_order(rows):
-            wanted, paired = self.other.get(r["call_type"]), False
-            if wanted is None:
+            if r["call_type"] not in self.kinds:
                 continue
-            for (seq,), (t, kind, done) in list(self.seen.iterator()):
-                if kind == wanted and abs(r["t"] - t) <= self.within:
-                    paired = True
-                    if not done:
-                        self.seen.updateValue((seq,), (t, kind, True))
-            self.seen.updateValue((r["seq"],), (r["t"], r["call_type"], paired))
-            self.handle.registerTimer(self._due(r["t"]))
-        return iter(())
+            if waiting is not None and r["t"] - waiting[1] > self.within:
+                yield Row(sid=key[0], seq=waiting[0], alert_t=waiting[1] + self.within)
+                waiting = None
+            waiting = None if waiting is not None and waiting[2] != r["call_type"] else (r["seq"], r["t"], r["call_type"])
+        if before is not None and (waiting is None or waiting[0] != before[0]):
+            self.handle.deleteTimer(self._due(before[1]))
+        if waiting is None:
+            self.slot.clear()
+        elif before is None or waiting[0] != before[0]:
+            self.slot.update(tuple(waiting))
+            self.handle.registerTimer(self._due(waiting[1]))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        for (seq,), (t, _, paired) in list(self.seen.iterator()):
+        if self.slot.exists():
+            seq, t, _ = self.slot.get()
             if self._due(t) <= expiredTimerInfo.getExpiryTimeInMs():
-                self.seen.removeKey((seq,))
-                if not paired:
-                    yield Row(sid=key[0], seq=seq, alert_t=t + self.within)
+                self.slot.clear()
+                yield Row(sid=key[0], seq=seq, alert_t=t + self.within)
+
+    def close(self) -> None:
+        pass
+
+
+class RankChanges(StatefulProcessor):
+    """The `n` largest values per key as a change log: (sid, kind, rank, duration), kind "-" for what a rank loses and "+" for what it gets.
+
+    Whoever applies the changes of a key in order holds its current ranks; ranks that stay the same give no rows.
+    """
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.top = handle.getListState("top", "duration LONG")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        before = [v for (v,) in self.top.get()] if self.top.exists() else []
+        now = list(before)
+        for r in rows:  # never more than n values, however many rows come
+            if r["duration"] is not None and (len(now) < self.n or r["duration"] > now[-1]):
+                now = sorted([*now, r["duration"]], reverse=True)[: self.n]
+        for rank in range(1, len(now) + 1):
+            old, new = (before[rank - 1] if rank <= len(before) else None), now[rank - 1]
+            if old != new:
+                if old is not None:
+                    yield Row(sid=key[0], kind="-", rank=rank, duration=old)
+                yield Row(sid=key[0], kind="+", rank=rank, duration=new)
+        if now != before:
+            self.top.put([(v,) for v in now])
 
     def close(self) -> None:
         pass

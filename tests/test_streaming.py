@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import rows
-from eddyline.operators import anchored, changelog, joins, patterns, state, transforms, windows
+from eddyline.operators import anchored, changelog, joins, overs, pairing, patterns, state, transforms, windows
 from eddyline.plans import inputs, stream_queries
 from eddyline.plans.states import ROW, envelopes
 from eddyline.session import work_path
@@ -180,14 +180,24 @@ def test_timeout_timer(live, stored):
     assert rows(later, "sid", "start_seq", "end_seq") == rows(want.where(settled), "sid", "start_seq", "end_seq")
 
 
-def test_partner_alert_timer(live, stored):
-    got = stateful_rows(live, stateful.PartnerAlert("busy", "success", DAY), "sid long, seq long, alert_t long", "partner")
-    busy, success = stored.where("call_type = 'busy'"), stored.where("call_type = 'success'")
-    lonely = joins.interval(busy, success, ["sid"], "t", "t", -DAY, DAY, "left_anti").unionByName(
-        joins.interval(success, busy, ["sid"], "t", "t", -DAY, DAY, "left_anti")
-    )
-    want = lonely.where(F.col("t") + DAY < last_watermark(stored))
-    assert rows(got, "sid", "seq") == rows(want, "sid", "seq")
+def test_slot_alert_timer(live, stored):
+    """What the stream reports is what the batch form reports, and it has reported all that the watermark has passed."""
+    got = stateful_rows(live, stateful.SlotAlert("busy", "success", DAY), "sid long, seq long, alert_t long", "slot")
+    kinds = stored.where("call_type IN ('busy', 'success')")
+    want = pairing.unpaired(kinds, ["sid"], "t", "seq", F.col("call_type") == "busy", DAY)
+    found = rows(got, "sid", "seq", "alert_t")
+    assert len(found) == len(set(found)) and set(found) <= set(rows(want.withColumn("alert_t", F.col("t") + DAY), "sid", "seq", "alert_t"))
+    passed = want.where(F.col("t") + DAY < last_watermark(stored))
+    assert set(rows(passed, "sid", "seq")) <= set(rows(got, "sid", "seq")) and passed.count() > 0
+
+
+def test_changes_of_ranks(live, stored):
+    """Every change takes away what the rank held; applied in order they end with the two largest values."""
+    got = stateful_rows(live, stateful.RankChanges(2), "sid long, kind string, rank int, duration long", "ranks")
+    ends = got.groupBy("sid", "rank").agg(F.sum(F.when(F.col("kind") == "+", F.col("duration")).otherwise(-F.col("duration"))).alias("duration"), F.sum(F.when(F.col("kind") == "+", 1).otherwise(-1)).alias("n"))
+    want = overs.top_n(stored.select("sid", "duration"), ["sid"], 2, F.col("duration").desc())
+    assert rows(ends.where("n = 1"), "sid", "rank", "duration") == rows(want, "sid", "rank", "duration") and ends.where("n <> 1").isEmpty()
+    assert not got.where("kind = '-'").isEmpty()
 
 
 def test_tumbling_windows_close_with_the_watermark(live, stored):

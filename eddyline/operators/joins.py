@@ -6,7 +6,7 @@ No side is forced to be broadcast: Spark broadcasts a side only when its measure
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,3 +134,28 @@ def as_of(
         found.where(F.col("_fact") & F.col("_valid").isNotNull() & ~F.col("_valid._deleted"))
         .select(*facts.columns, *[F.col(f"_valid.{c}").alias(c) for c in payload])
     )
+
+
+def roles_as_of(
+    facts: DataFrame, versions: DataFrame, fact_id: str, position: str, person: str, value: str, roles: Mapping[str, str], width: Width, fallback: str = ""
+) -> DataFrame:
+    """Each fact with the values that the persons in its roles have when it arrives: (fact_id, position, one column per role).
+
+    `versions` are (person, position, value); a version at a fact's own position counts. `roles` maps an output column to the fact's column with the person.
+    A fact is one row per role, keyed by person and stacked with the versions; the latest version is carried along each person's rows, and
+    the roles meet again by fact: two shuffles, however many roles. A role without a person or without a version yet has the fallback.
+    """
+    asked = None
+    for role, column in roles.items():
+        part = facts.select(F.col(column).cast("long").alias("_person"), F.col(position).cast("long").alias("_at"), F.lit(1).alias("_side"), F.col(fact_id).alias("_fact"), F.lit(role).alias("_role"))
+        asked = part if asked is None else asked.unionByName(part)
+    told = versions.select(F.col(person).cast("long").alias("_person"), F.col(position).cast("long").alias("_at"), F.lit(0).alias("_side"), F.struct(F.col(value).alias("v")).alias("_version"))
+    stacked = asked.unionByName(told, allowMissingColumns=True)
+    found = running(stacked, ["_person"], ["_at", "_side"], {"_valid": ("last", F.col("_version"))}, width).where("_side = 1")
+    return regrouped(found.withColumn("_value", F.when(F.col("_person").isNotNull(), F.col("_valid.v"))), roles, fact_id, position, fallback)
+
+
+def regrouped(found: DataFrame, roles: Iterable[str], fact_id: str, position: str, fallback: str) -> DataFrame:
+    """(_fact, _at, _role, _value) rows to one row per fact."""
+    columns = [F.coalesce(F.max(F.when(F.col("_role") == role, F.col("_value"))), F.lit(fallback)).alias(role) for role in roles]
+    return found.groupBy(F.col("_fact").alias(fact_id), F.col("_at").alias(position)).agg(*columns)

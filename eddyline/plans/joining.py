@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eddyline.operators import joins, pairing
 from eddyline.plans.catalog import query
-from eddyline.plans.inputs import DAY, HOUR, calls, calls_sql, table, time_width
+from eddyline.plans.inputs import DAY, HOUR, calls, calls_sql, seq_width, table, time_width
 
 NEAR = 12 * HOUR
 
@@ -128,13 +128,18 @@ def join_lookup_two_roles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "join_broadcast_state",
-    calls_sql(f", people AS (SELECT o_custkey AS person, arg_max(o_orderpriority, o_orderkey) AS name FROM orders GROUP BY o_custkey) {ROLES_SQL}"),
+    calls_sql(""", r AS (SELECT seq, 'caller' AS role, CAST(sid AS BIGINT) AS person FROM calls UNION ALL SELECT seq, 'callee', call_in FROM calls),
+      k AS (SELECT r.seq, r.role, o.o_orderpriority AS name FROM r ASOF LEFT JOIN orders o ON r.person = o.o_custkey AND r.seq >= o.o_orderkey)
+      SELECT seq, max(sid) AS sid, max(call_in) AS call_in, coalesce(max(name) FILTER (WHERE role = 'caller'), '') AS caller,
+             coalesce(max(name) FILTER (WHERE role = 'callee'), '') AS callee FROM k JOIN calls USING (seq) GROUP BY seq"""),
 )
 def join_broadcast_state(spark: SparkSession, sf: str) -> DataFrame:
-    """The other side is a stream of versions of each person (here: orders); a later record replaces an earlier one first."""
-    versions = table(spark, sf, "orders").select(F.col("o_custkey").alias("person"), "o_orderkey", F.col("o_orderpriority").alias("name"))
-    current = versions.groupBy("person").agg(F.max_by("name", "o_orderkey").alias("name"))
-    return joins.lookup_roles(calls(spark, sf).select("seq", "sid", "call_in"), current, "person", ROLES)
+    """The other side is a stream of versions of each person (here: orders, which arrive among the calls by number); a call sees both persons as known
+    when it arrives."""
+    versions = table(spark, sf, "orders").select(F.col("o_custkey").alias("person"), F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("name"))
+    log = calls(spark, sf).select("seq", F.struct("seq", "sid", "call_in").alias("call"), "sid", "call_in")
+    found = joins.roles_as_of(log, versions, "call", "seq", "person", "name", {"caller": "sid", "callee": "call_in"}, seq_width(spark, sf))
+    return found.select("call.seq", "call.sid", "call.call_in", "caller", "callee")
 
 
 @query("join_lookup_async", calls_sql(f"{PEOPLE_SQL} SELECT seq, sid, coalesce(name, 'not found') AS name FROM calls LEFT JOIN people ON sid = person"))
@@ -145,16 +150,17 @@ def join_lookup_async(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "join_broadcast_map",
-    """SELECT s_suppkey, n_name, coalesce(r_name, 'unknown') AS region FROM supplier
-       LEFT JOIN nation ON s_suppkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
+    calls_sql("""SELECT seq, sid, n_name, coalesce(r_name, 'unknown') AS region FROM calls LEFT JOIN supplier ON sid = s_suppkey
+       LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""),
 )
 def join_broadcast_map(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers looked up by their number, so that most have no nation and no region."""
+    """Every call looked up in a table of suppliers, nations and regions; callers that are no supplier have none."""
     nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
-    suppliers = table(spark, sf, "supplier").select("s_suppkey")
-    named = joins.lookup(suppliers, nations, "s_suppkey", "n_nationkey", {"n_name": F.lit(None), "n_regionkey": F.lit(None)})
+    log = calls(spark, sf).select("seq", "sid")
+    placed = joins.lookup(log, table(spark, sf, "supplier"), "sid", "s_suppkey", {"s_nationkey": F.lit(None)})
+    named = joins.lookup(placed, nations, "s_nationkey", "n_nationkey", {"n_name": F.lit(None), "n_regionkey": F.lit(None)})
     full = joins.lookup(named, regions, "n_regionkey", "r_regionkey", {"r_name": F.lit("unknown")})
-    return full.select("s_suppkey", "n_name", F.col("r_name").alias("region"))
+    return full.select("seq", "sid", "n_name", F.col("r_name").alias("region"))
 
 
 def _visits(spark: SparkSession, sf: str) -> DataFrame:

@@ -260,6 +260,29 @@ class SlotAlert(StatefulProcessor):
         pass
 
 
+class PersonAsKnown(StatefulProcessor):
+    """Versions of a person and calls that name them, in one stream: (seq, role, name) with the person's name when the call arrives.
+
+    Rows are (person, seq, role, name); a row without a role is a version. The state is the last name; at the same place a version comes first.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.name = handle.getValueState("name", "name STRING")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        before = name = self.name.get()[0] if self.name.exists() else None
+        for r in sorted(rows, key=lambda r: (r["seq"], r["role"] is not None)):
+            if r["role"] is None:
+                name = r["name"]
+            else:
+                yield Row(seq=r["seq"], role=r["role"], name=name)
+        if name != before:
+            self.name.update((name,))
+
+    def close(self) -> None:
+        pass
+
+
 class RankChanges(StatefulProcessor):
     """The `n` largest values per key as a change log: (sid, kind, rank, duration), kind "-" for what a rank loses and "+" for what it gets.
 

@@ -115,6 +115,27 @@ def test_lookup_on_a_stream(spark, sf, live, stored):
     assert rows(run.drain(enriched(live), "lookup")) == rows(enriched(stored))
 
 
+def test_persons_as_known_on_a_stream(spark, sf, tmp_path):
+    """Versions and calls arrive mixed, over several files; a later version doesn't change earlier calls."""
+    versions = inputs.table(spark, sf, "orders").selectExpr("o_custkey AS person", "o_orderkey AS seq", "o_orderpriority AS name")
+    log = inputs.calls(spark, sf).select("seq", F.col("sid").cast("long").alias("sid"), F.col("call_in").cast("long").alias("call_in"))
+    tagged = versions.withColumn("role", F.lit(None).cast("string"))
+    for role, column in (("caller", "sid"), ("callee", "call_in")):
+        tagged = tagged.unionByName(log.select(F.col(column).alias("person"), "seq", F.lit(role).alias("role"), F.lit(None).cast("string").alias("name")))
+    table = tagged.where("person IS NOT NULL").orderBy("seq").toPandas()
+    for i in range(4):
+        part = table[(table.seq * 4 // (table.seq.max() + 1)) == i]
+        path = f"{tmp_path}/part-{i}.parquet"
+        part.to_parquet(path, index=False)
+        os.utime(path, (1_700_000_000 + 10 * i,) * 2)
+    live = spark.readStream.schema(tagged.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path))
+    got = run.drain(stateful.with_state(live, "person", stateful.PersonAsKnown(), "seq long, role string, name string", time_mode="None"), "persons")
+    found = joins.regrouped(got.selectExpr("seq AS _fact", "seq AS _at", "role AS _role", "name AS _value"), ["caller", "callee"], "call", "seq", "")
+    want = joins.roles_as_of(log.withColumn("call", F.col("seq")), versions, "call", "seq", "person", "name", {"caller": "sid", "callee": "call_in"}, None)
+    assert rows(found, "seq", "caller", "callee") == rows(want, "seq", "caller", "callee")
+    assert want.where("caller <> ''").count() > 0
+
+
 def test_slower_input_closes_windows(spark, feed, stored):
     def side(kind):
         return stream_queries.stream_calls(spark, feed).where(f"call_type = '{kind}'").select("ts")

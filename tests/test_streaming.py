@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from compare import rows
 from eddyline.operators import anchored, changelog, joins, overs, pairing, patterns, state, transforms, windows
@@ -126,7 +127,7 @@ def test_persons_as_known_on_a_stream(spark, sf, tmp_path):
     for i in range(4):
         part = table[(table.seq * 4 // (table.seq.max() + 1)) == i]
         path = f"{tmp_path}/part-{i}.parquet"
-        part.to_parquet(path, index=False)
+        part.to_parquet(path, index=False, schema=to_arrow_schema(tagged.schema))
         os.utime(path, (1_700_000_000 + 10 * i,) * 2)
     live = spark.readStream.schema(tagged.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path))
     got = run.drain(stateful.with_state(live, "person", stateful.PersonAsKnown(), "seq long, role string, name string", time_mode="None"), "persons")

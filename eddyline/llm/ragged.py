@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ def offsets_of(lengths: np.ndarray) -> np.ndarray:
 
 def flat(lists: Sequence[Sequence[int]], kind: type = np.int64) -> tuple[np.ndarray, np.ndarray]:
     offsets = offsets_of(np.fromiter(map(len, lists), np.int64, len(lists)))
-    return np.fromiter((x for xs in lists for x in xs), kind, int(offsets[-1])), offsets
+    return np.fromiter(chain.from_iterable(lists), kind, int(offsets[-1])), offsets
 
 
 def gather(values: np.ndarray, offsets: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,8 +3,8 @@
 Every text is tokenized as a whole by a byte-level BPE (A, with a space in front) and a sentencepiece BPE (B, which adds it). The tokenizers never join over a space between
 two other characters, so the distinct words of a part of the texts are tokenized once and put together to the ids of whole texts. Where an A and a B token
 end at the same byte and both next tokens are marked by a space, the text is split: an anchor. What lies between two anchors is a window of A ids
-and B ids. A token's bytes depend on its id alone, so equal windows have the same groups and links: each distinct one is aligned once and remembered by its id
-tuples.
+and B ids. A token's bytes depend on its id alone, so equal windows have the same groups and links: windows are told apart by their id tuples, each
+distinct one of a part is aligned once, and every occurrence looks the result up.
 
 The links of a document are written as (id pair, times). The number of documents that hold a pair is counted over the corpus and looked up again:
 the most frequent pairs (a bounded number, see `lookup`) in the tasks, all others by a shuffle.
@@ -28,8 +28,8 @@ from eddyline.llm.ragged import Words, as_lists, flat, gather, offsets_of, sums,
 from eddyline.llm.registry import query, table
 from eddyline.session import cut
 
-SLICE_BYTES = 1 << 20
-REMEMBERED = 100_000  # windows, and words
+SLICE_BYTES = 2 << 20
+REMEMBERED = 150_000  # words
 PACKED = 4  # ids of 16 bits in one number
 
 Batches = Iterator[pa.RecordBatch]
@@ -77,34 +77,10 @@ def sentence_pieces(path: str) -> Side:
     return Side([spelling(i) for i in range(model.vocab_size())], lambda words: model.encode([w[1:] for w in words], num_threads=1))
 
 
-def groups_and_links(a: tuple, b: tuple, sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[list[str], list[tuple[int, int]]]:
-    """Groups between bytes at which both an A and a B token end, as text, and all overlapping pairs."""
-    groups, links = [], []
-    i = j = i0 = j0 = end_a = end_b = 0
-    if a:
-        end_a, end_b = int(sizes_a[a[0]]), int(sizes_b[b[0]])
-    while i < len(a):
-        links.append((a[i], b[j]))
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[i0 : i + 1]))}|{','.join(map(str, b[j0 : j + 1]))}")
-            i, j = i + 1, j + 1
-            i0, j0 = i, j
-            if i < len(a):
-                end_a, end_b = end_a + int(sizes_a[a[i]]), end_b + int(sizes_b[b[j]])
-        elif end_a < end_b:
-            i += 1
-            end_a += int(sizes_a[a[i]])
-        else:
-            j += 1
-            end_b += int(sizes_b[b[j]])
-    return groups, links
-
-
 class Aligner:
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
         self.words: dict[bytes, tuple | None] = {}
-        self.windows: dict[tuple, tuple] = {}
         self.packable = max(len(a.spellings), len(b.spellings)) < (1 << 16) - 1
 
     def tokenized(self, words: list[bytes]) -> list[tuple | None]:
@@ -114,22 +90,23 @@ class Aligner:
             self.words.clear()
             new = words
         spelt = [w.decode() for w in new]
-        for w, x, y in zip(new, self.a.encode(spelt), self.b.encode(spelt)):
-            self.words[w] = (x, y) if self.a.spelt(x) == w and self.b.spelt(y) == w else None
+        ids = [side.encode(spelt) for side in (self.a, self.b)]
+        right = [self.spells(side, x, new) for side, x in zip((self.a, self.b), ids)]
+        for w, x, y, one, other in zip(new, *ids, *right):
+            self.words[w] = (x, y) if one and other else None
         return [self.words[w] for w in words]
 
-    def window(self, key: tuple[tuple, tuple]) -> tuple:
-        """(groups as text, number of groups, pair numbers of the links) of a window, aligned once."""
-        found = self.windows.get(key)
-        if found is None:
-            groups, links = groups_and_links(*key, self.a.size, self.b.size)
-            if len(self.windows) >= REMEMBERED:
-                self.windows.clear()
-            found = self.windows[key] = ";".join(groups), len(groups), [x * len(self.b.spellings) + y for x, y in links]
-        return found
+    @staticmethod
+    def spells(side: Side, ids: list[list[int]], words: list[bytes]) -> list[bool]:
+        """Whether the ids' bytes are the word, for all words at once if they all are."""
+        values, offsets = flat(ids)
+        sizes = sums(side.size[values], offsets)
+        if np.array_equal(sizes, np.fromiter(map(len, words), np.int64, len(words))) and side.spelt(values.tolist()) == b"".join(words):
+            return [True] * len(words)
+        return [side.spelt(x) == w for x, w in zip(ids, words)]
 
-    def distinct(self, a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> tuple[list[tuple], np.ndarray]:
-        """The distinct windows (A ids, B ids) and which of them each window is; window w is a[at_a[w]:at_a[w + 1]] and b[at_b[w]:at_b[w + 1]].
+    def distinct(self, a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One window for each distinct (A ids, B ids), and which of them each window is; window w is a[at_a[w]:at_a[w + 1]] and b[at_b[w]:at_b[w + 1]].
 
         Short ones are compared as two numbers of packed ids, the others as tuples.
         """
@@ -138,8 +115,8 @@ class Aligner:
         which = np.zeros(len(n_a), np.int64)
         packed = []
         for ids, at, n in ((a, at_a, n_a), (b, at_b, n_b)):
-            number = np.zeros(int(short.sum()), np.uint64)
             begin, size = at[:-1][short], n[short]
+            number = np.zeros(len(size), np.uint64)
             for k in range(PACKED):
                 inside = k < size
                 number[inside] |= (ids[begin[inside] + k].astype(np.uint64) + np.uint64(1)) << np.uint64(16 * k)
@@ -150,13 +127,34 @@ class Aligner:
         code = np.empty(len(by), np.int64)
         code[by] = np.cumsum(opens) - 1
         which[short] = code
-        first = np.flatnonzero(short)[by[opens]]
-        keys = [(tuple(a[at_a[w] : at_a[w + 1]].tolist()), tuple(b[at_b[w] : at_b[w + 1]].tolist())) for w in first]
-        codes: dict[tuple, int] = {}
+        found = np.flatnonzero(short)[by[opens]]
+        memory: dict[tuple, int] = {}
+        more = []
         for w in np.flatnonzero(~short):
-            key = tuple(a[at_a[w] : at_a[w + 1]].tolist()), tuple(b[at_b[w] : at_b[w + 1]].tolist())
-            which[w] = len(keys) + codes.setdefault(key, len(codes))
-        return keys + list(codes), which
+            key = a[at_a[w] : at_a[w + 1]].tobytes(), b[at_b[w] : at_b[w + 1]].tobytes()
+            number = memory.setdefault(key, len(memory))
+            if number == len(more):
+                more.append(w)
+            which[w] = len(found) + number
+        return np.concatenate([found, np.array(more, np.int64)]), which
+
+    def aligned(self, a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(groups as text, number of groups) of each window, and its links as lists (pair numbers, offsets).
+
+        Between two neighbouring ends, of either side, lies a stretch of one A and one B token: a link each.
+        """
+        ends_a, ends_b = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
+        every = np.union1d(ends_a, ends_b)
+        pairs = a[np.searchsorted(ends_a, every)] * len(self.b.spellings) + b[np.searchsorted(ends_b, every)]
+        last = ends_a[at_a[1:] - 1]
+        link_offsets = np.concatenate([[0], np.searchsorted(every, last, "right")])
+        shared, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        group_offsets = np.concatenate([[0], np.searchsorted(shared, last, "right")])
+        one, other = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        ends = zip([0, *(in_a[:-1] + 1).tolist()], (in_a + 1).tolist(), [0, *(in_b[:-1] + 1).tolist()], (in_b + 1).tolist())
+        groups = [f"{','.join(one[i:j])}|{','.join(other[k:m])}" for i, j, k, m in ends]
+        texts = [";".join(groups[i:j]) for i, j in zip(group_offsets[:-1].tolist(), group_offsets[1:].tolist())]
+        return texts, np.diff(group_offsets), pairs, link_offsets
 
     def align(self, words: Words) -> dict[str, np.ndarray | list]:
         """Of each text: n_a, n_b, n_groups, n_links, groups_sha256 and its distinct links as lists (pair, times)."""
@@ -181,15 +179,13 @@ class Aligner:
         anchor = (next_a[in_a] & next_b[in_b]) | last[in_a + 1]
         at_a, at_b = (np.concatenate([[0], x[anchor] + 1]) for x in (in_a, in_b))
         windows, which = self.distinct(ids[0], at_a, ids[1], at_b)
-        found = [self.window(w) for w in windows]
+        texts, groups, links, link_first = self.aligned(*gather(ids[0], at_a, windows), *gather(ids[1], at_b, windows))
         window_first = np.searchsorted(at_a, first[0])
-        n_groups = sums(np.array([f[1] for f in found], np.int64)[which], window_first)
-        links, link_first = flat([f[2] for f in found], np.int64)
+        n_groups = sums(groups[which], window_first)
         pairs, code = np.unique(links, return_inverse=True)
         every, begin = gather(code, link_first, which)
         first_link = begin[window_first]
         key, times = np.unique(np.repeat(np.arange(n), np.diff(first_link)) * max(1, len(pairs)) + every, return_counts=True)
-        texts = [f[0] for f in found]
         digests = []
         for i in range(n):
             mine = which[window_first[i] : window_first[i + 1]].tolist()

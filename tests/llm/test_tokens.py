@@ -127,7 +127,7 @@ def test_alignment_of_odd_tables(spark, repeated_rows, nothing):  # noqa: F811
 
 
 def test_windows_that_cannot_be_packed(texts, monkeypatch):
-    """Long windows, many ids and a memory that starts anew give the same alignments."""
+    """Windows compared as tuples and a memory of words that starts anew give the same alignments."""
     aligner = token_alignment.Aligner(token_alignment.byte_level(BYTES), token_alignment.sentence_pieces(PIECES))
     parts = [words for _, _, words in words_of(pa.array([" " + t for _, t in texts if t], pa.string()), 20_000)]
     want = [aligner.align(w) for w in parts]

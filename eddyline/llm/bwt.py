@@ -16,12 +16,12 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     key = ((padded[:n] * base + padded[1 : n + 1]) * base + padded[2 : n + 2]) * base + padded[3 : n + 3]
     length = 4
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # what is equal up to `depth` may stand in any order
         ranked = key[order]
-        step = np.ones(n, np.int64)
+        step = np.ones(n, np.int32)
         step[1:] = ranked[1:] != ranked[:-1]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(step)
+        rank[order] = np.cumsum(step, dtype=np.int64)
         if length >= depth or n == 0 or rank[order[-1]] == n:
             return order
         after = np.zeros(n, np.int64)
@@ -30,6 +30,12 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         length *= 2
 
 
+def in_order(values: np.ndarray) -> np.ndarray:
+    """A stable argsort of non-negative integers below 2^31: value and place are sorted as one number."""
+    n = np.int64(max(1, len(values)))
+    return np.sort(values.astype(np.int64) * n + np.arange(len(values))) % n
+
+
 def long_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     """Whether each suffix in `order` shares at least `least` symbols with the one before it.
 
@@ -43,12 +49,12 @@ def long_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndar
     fresh = np.ones(n, bool)
     fresh[1:] = first[1:] != first[:-1]
     transform = symbols[order - 1]  # the symbol before each suffix; the whole text counts as a cycle, and its ends are separators
-    by_symbol = np.argsort(transform, kind="stable")
+    by_symbol = in_order(transform)
     same = transform[by_symbol[1:]] == transform[by_symbol[:-1]]
     left, right = by_symbol[:-1][same], by_symbol[1:][same]
     # place of the right one among all suffixes: symbols before it in order, plus equal ones before it
     target = np.flatnonzero(np.concatenate([[False], same]))
-    by_place = np.argsort(left, kind="stable")
+    by_place = in_order(left)
     left, right, target = left[by_place].astype(np.int32), right[by_place].astype(np.int32), target[by_place].astype(np.int32)
     unset = np.ones(n, bool)
     unset[fresh] = False

@@ -33,6 +33,7 @@ LENGTH = 200
 LEVELS = (50, 150, 190, 200)
 MAX_GROUP = 8_192
 CHUNK_BYTES = 1 << 20
+TASK_BYTES = 2 << 20
 
 RUNS = "a long, b long, weight long, start int, n int, seed long, bytes long, inner boolean"
 
@@ -143,11 +144,42 @@ def repeated_windows(texts: list[bytes], weights: list[int], length: int) -> tup
     return text, begin - base, stop - base - 1 + length
 
 
-def expanded(contents: DataFrame, length: int) -> DataFrame:
+def may_share(texts: list[bytes], seeds: np.ndarray, k: int, length: int) -> np.ndarray:
+    """Whether a string may share a window with another, or with itself, of the same seed.
+
+    A shared window holds the seed string at one place in both, and at least half of its other bytes lie on one side of it. So two places of the seed
+    agree in the seed and that many bytes before, or behind it; a string whose places all stand alone in both is out. Equal strings have equal hashes,
+    so none is lost.
+    """
+    starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
+    part = Texts(np.frombuffer(b"".join(texts), np.uint8), starts, 0)
+    side = -(-(length - k) // 2)
+    at = np.arange(len(part.data) - k + 1)
+    owner = np.repeat(np.arange(part.n), np.diff(starts))[: len(at)]
+    own = (part.hashes(at, at + k) == seeds[owner]) & (at + k <= starts[owner + 1])
+    at, owner = at[own], owner[own]
+    kept = np.zeros(len(texts), bool)
+    for begin, end in ((at - side, at + k), (at, at + k + side)):
+        inside = (begin >= starts[owner]) & (end <= starts[owner + 1])
+        which = owner[inside]
+        key = mixed(part.hashes(begin[inside], end[inside]) ^ mixed(seeds[which]))
+        _, code, times = np.unique(key, return_inverse=True, return_counts=True)
+        kept[which[times[code] > 1]] = True
+    return kept
+
+
+def expanded(contents: DataFrame, k: int, length: int) -> DataFrame:
     """(seed, bytes, from, to) of repeated stretches in groups of `contents`; a group lies within one task and one chunk."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
+        paired = may_share([r[3] for r in rows], np.array([r[0] for r in rows], np.int64).view(np.uint64), k, length)
+        alone = [r for r, p in zip(rows, paired) if not p and r[2] > 1]  # whole strings that occur more than once
+        rows = [r for r, p in zip(rows, paired) if p]
         text, begin, stop = repeated_windows([r[3] for r in rows], [r[2] for r in rows], length)
+        text = np.concatenate([text, len(rows) + np.arange(len(alone))]).astype(np.int64)
+        begin = np.concatenate([begin, np.zeros(len(alone), np.int64)])
+        stop = np.concatenate([stop, np.array([len(r[3]) for r in alone], np.int64)])
+        rows = rows + alone
         seeds, names = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
         return pa.RecordBatch.from_arrays([pa.array(seeds[text]), pa.array(names[text]), pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32))], ["seed", "bytes", "from", "to"])
 
@@ -164,7 +196,9 @@ def expanded(contents: DataFrame, length: int) -> DataFrame:
         if held:
             yield solve(held)
 
-    dealt = contents.select("seed", "bytes", "weight", "text").repartition("seed").sortWithinPartitions("seed")
+    # the transform's work goes by bytes, so tasks are made by bytes; left alone, small partitions would be put together
+    total = contents.agg(F.sum(F.octet_length("text") + 24)).first()[0] or 0
+    dealt = contents.select("seed", "bytes", "weight", "text").repartition(max(1, -(-total // TASK_BYTES)), "seed").sortWithinPartitions("seed")
     return dealt.mapInArrow(run, "seed long, bytes long, `from` int, `to` int")
 
 
@@ -185,7 +219,7 @@ def repeats(items: DataFrame, length: int = LENGTH, levels: tuple[int, ...] = LE
     undecided = cut(undecided.select("seed", "bytes", "weight", "one.*"), f"contents-{k}")
     large = undecided.groupBy("seed").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > max_group).select("seed", F.lit(True).alias("large"))
     sized = cut(fetched(items, undecided, length).join(large, "seed", "left"), f"texts-{k}")
-    solved = expanded(sized.where(F.col("large").isNull()), length)
+    solved = expanded(sized.where(F.col("large").isNull()), k, length)
     hot = sized.where("large")
     if not hot.isEmpty():
         deeper = repeats(hot.select(F.col("seed").alias("a"), F.col("bytes").alias("b"), "weight", "text"), length, levels[1:], max_group)
@@ -199,7 +233,8 @@ def without_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text
     """One row per row of `documents`: key, n_bytes, n_removed, n_spans, kept (the remaining bytes), judged on the whole table.
 
     A null text is empty. Keys may be null or repeat: rows that are equal in key and text are two places of the same strings. Other columns are
-    not read. Strings are compared as bytes in the last step and named by two 64-bit hashes before it.
+    not read. Runs are named by 64-bit hashes: groups whose runs all have one name (whole copies), and what reaches the last level, where a
+    seed is the window itself, are taken as equal by name. In all other groups the strings themselves decide, in the transform.
     """
     kind = dict(documents.dtypes)[key]
     body = F.coalesce(F.col(text), F.lit(""))

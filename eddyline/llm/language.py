@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import join_null_safe
+from eddyline.llm.common import join_null_safe, release
 from eddyline.llm.registry import query, table
 from eddyline.llm.textbytes import LOWER, Texts, slices
 from eddyline.llm.url_filter import host_and_path
@@ -60,20 +60,21 @@ def trigrams(part: Texts) -> tuple[np.ndarray, np.ndarray]:
     """(text, bucket) of every trigram with a letter in its middle that stays in one text."""
     x = LETTER[part.data]
     if len(x) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(part.n), np.diff(part.starts))
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    owner = np.repeat(np.arange(part.n, dtype=np.int32), np.diff(part.starts))
     ok = (owner[:-2] == owner[2:]) & (x[1:-1] != 32)
     y = x.astype(np.uint32)
     key = ((y[:-2] << 16) | (y[1:-1] << 8) | y[2:])[ok]
-    return owner[:-2][ok], ((key * np.uint32(0x9E3779B1)) >> np.uint32(17)).astype(np.int64)
+    return owner[:-2][ok], ((key * np.uint32(0x9E3779B1)) >> np.uint32(17)).astype(np.int32)
 
 
 def train(rows: DataFrame, languages: Sequence[str] = LANGUAGES, train_rows: int = TRAIN_ROWS) -> TextModel:
-    """The text model from `rows` (text, declared): all of them up to about `train_rows` with a known language, else a share of
-    that expected size, chosen by the hash of the text. Counts are added up on the executors; the driver gets languages x BUCKETS sums."""
-    labelled = rows.where(F.col("declared").isin(*languages) & F.col("text").isNotNull()).select("text", "declared")
-    share = min(1.0, train_rows / max(labelled.count(), 1))
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    """The text model from `rows` (text, declared): all distinct texts with a known language up to about `train_rows`, else a share of
+    that expected size, chosen by the hash of the text; copies count once. Counts are added up on the executors; the driver gets languages x BUCKETS sums."""
+    labelled = rows.where(F.col("declared").isin(*languages) & F.col("text").isNotNull()).select(F.xxhash64("text").alias("name"), "text", "declared")
+    share = min(1.0, train_rows / max(labelled.agg(F.approx_count_distinct("name")).first()[0], 1))
+    drawn = labelled.where(F.pmod("name", F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = drawn.groupBy("name", "declared").agg(F.first("text").alias("text")).select("text", "declared")
     known = list(languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,6 +84,7 @@ def train(rows: DataFrame, languages: Sequence[str] = LANGUAGES, train_rows: int
             for part in slices(batch.column(0)):
                 owner, bucket = trigrams(part)
                 counts += np.bincount(which[part.first + owner] * BUCKETS + bucket, minlength=counts.size).reshape(counts.shape)
+        release()
         lang, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(counts[lang, bucket])], ["lang", "bucket", "n"])
 
@@ -107,6 +109,7 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
                 total = total * (np.minimum(n, TEXT_WEIGHT) / np.maximum(n, 1))[:, None]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(part.n + 1, dtype=np.int32) * len(ratio)), pa.array(total.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*(c.slice(part.first, part.n) for c in batch.columns[: len(kept)]), pa.array(n), lists], [*kept, "n_grams", "evidence"])
+        release()
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept)
     return rows.select(*kept, "text").mapInArrow(run, f"{schema}, n_grams long, evidence array<double>")

@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.llm.common import release
 from eddyline.llm.registry import query, table
 from eddyline.session import cut
 
@@ -107,6 +108,12 @@ class PieceEncoder:
         return self.words[text]
 
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.words.clear()
+        release()
+
+
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -175,6 +182,13 @@ def piece_lister(encode_with: str, capacity: int, end_id: int | None) -> Callabl
         return row, piece, start, length, crc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from listed(batches)
+        finally:
+            # the worker lives on and may serve other stages: it keeps the tokenizer, but not the caches
+            encoder(encode_with).forget()
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = np.int64(TaskContext.get().partitionId()) << 32
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)

@@ -1,7 +1,8 @@
 """Words, lines and their hashes over the UTF-8 bytes of many texts at once, in numpy.
 
 A hash is a polynomial in a random odd base modulo 2^64 over a random 64-bit value per byte, so the hash of any stretch
-comes from two prefix sums, and n-grams of words are rolled from the word hashes in the same way.
+comes from two prefix sums, and n-grams of words are rolled from the word hashes in the same way. Modulo a power of two some long, regular strings
+collide in every base, so stretches of more than `LONG` bytes are hashed one by one in another way.
 """
 
 from __future__ import annotations
@@ -10,8 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+LONG = 512  # bytes
 
 _RANDOM = np.random.default_rng(20240611)
 BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,7 +79,10 @@ class Texts:
             self._inverse = powers(INVERSE, len(data))
         prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data))[:-1], out=prefix[1:])
-        return mixed((prefix[end] - prefix[begin]) * self._inverse[begin] + (end - begin).astype(np.uint64))
+        found = mixed((prefix[end] - prefix[begin]) * self._inverse[begin] + (end - begin).astype(np.uint64))
+        for i in np.flatnonzero(end - begin > LONG):
+            found[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]].tobytes())
+        return found
 
     def characters(self) -> np.ndarray:
         """Code points before each byte position."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from types import SimpleNamespace
+
 import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -68,3 +71,37 @@ def test_secrets_of_equal_rows_are_marked_in_all(spark, sf):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert [r.text for r in stage("secrets")(spark, docs, sf).collect()] == ["[SECRET] end"] * 2
     assert secrets.KINDS[:3] == secrets.BASE_KINDS
+
+
+def test_clashing_names_and_a_run_that_goes_on(spark, sf, tmp_path):
+    """Columns of the input with names that the stages use come through unchanged; finished stages are kept."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["text_hash", "live", "row", "key", "spans", "marked", "owner", "host", "declared", "_task"]
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")) for n in names})
+    for name, fn in corpus_pipeline.STAGES[:-1]:
+        docs = fn(spark, docs, sf).cache()
+        assert set(names) <= set(docs.columns) and docs.count() > 100
+        for n in names:
+            assert docs.where(F.col(n) != F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string"))).isEmpty(), (name, n)
+
+    first = corpus_pipeline.run(spark, sf, str(tmp_path)).count()
+    calls = []
+    stages = corpus_pipeline.STAGES
+    try:
+        corpus_pipeline.STAGES = [(n, lambda *a, n=n, f=f: (calls.append(n), f(*a))[1]) for n, f in stages]
+        os.remove(tmp_path / "packing" / "_SUCCESS")
+        assert corpus_pipeline.run(spark, sf, str(tmp_path)).count() == first and calls == ["packing"]
+    finally:
+        corpus_pipeline.STAGES = stages
+
+
+def test_caches_are_gone_after_a_task(monkeypatch):
+    from eddyline.llm import packing
+
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    path = public_tokenizers.path(corpus_pipeline.TOKENIZER)
+    encoder = packing.encoder(path)
+    encoder.encode("some words öäü 你好")
+    assert encoder.pieces and encoder.words
+    list(packing.piece_lister(path, 4096, 1)(iter(())))
+    assert not encoder.pieces and not encoder.words

@@ -9,7 +9,6 @@ Nulls in any column, empty texts, repeated rows and empty tables pass through: s
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +24,12 @@ ORACLE_SQL = None
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("text_hash", text_hash(F.col("text")))
+    """The whole row as one column, so that no name of the input meets a name used here, and the values that decisions are joined by."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id"), text_hash(F.col("text")).alias("text_hash"), F.col("lang"), F.col("source"))
+
+
+def _rows(named: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    return named.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def _decided(rows: DataFrame, label: str, row_bytes: Column | None = None) -> DataFrame:
@@ -38,10 +42,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Language ID. Documents without a recognised language go: no letters (null texts too), or explained by no language with
     the needed confidence. Rows that repeat are judged alike and all stay or all go."""
     names = ["doc_id", "text_hash", "lang", "source"]
-    ids = _named(docs).select("doc_id", "text_hash", F.col("lang").alias("own_lang"), "source", "text", F.col("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))
+    ids = docs.select("doc_id", text_hash(F.col("text")).alias("text_hash"), F.col("lang").alias("own_lang"), "source", "text", F.col("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))
     judged = language.identify(ids)
     rejected = _decided(judged.where(~F.col("kept")).select("doc_id", "text_hash", F.col("own_lang").alias("lang"), "source").distinct(), "rejected")
-    return join_null_safe(_named(docs), rejected, names, "left_anti").select(docs.columns)
+    return _rows(join_null_safe(_named(docs), rejected, names, "left_anti"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if not copies.isEmpty():
         once = join_null_safe(stay, copies, names, "left_semi").dropDuplicates(names)
         stay = join_null_safe(stay, copies, names, "left_anti").unionByName(once)
-    return stay.select(docs.columns)
+    return _rows(stay, docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +68,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     names = ["doc_id", "text_hash"]
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     hit = _decided(found.where("n_hit > 0").select(F.col("key").alias("doc_id"), "text_hash").distinct(), "hit")
-    return join_null_safe(_named(docs), hit, names, "left_anti").select(docs.columns)
+    return _rows(join_null_safe(_named(docs), hit, names, "left_anti"), docs)
 
 
 def redact_live_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,13 +78,17 @@ def redact_live_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     found = secrets.scan(docs, *secrets.by_source(docs))
     live = found.select(F.col("key").alias("doc_id"), "text_hash", F.col("owner").alias("source"), F.col("repository").alias("lang"), F.filter("spans", lambda s: s["verdict"] == "live").alias("live"))
     live = _decided(live.where(F.size("live") > 0).dropDuplicates(names), "live", 128 + 64 * F.size("live"))
-    text = F.when(F.col("live").isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col("live")))
-    marked = join_null_safe(_named(docs), live, names, "left").withColumn("text", text)
-    return marked.withColumn("n_chars", F.when(F.col("live").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(docs.columns)
+    joined = join_null_safe(_named(docs), live, names, "left")
+    old = F.col("row.text")
+    marked = joined.withColumn("marked", F.when(F.col("live").isNotNull(), secrets.redacted(old, F.col("live"))))
+    changed = F.col("live").isNotNull()
+    return _rows(marked, docs, text=F.when(changed, F.col("marked")).otherwise(old), n_chars=F.when(changed, F.char_length("marked").cast("long")).otherwise(F.col("row.n_chars")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing into sequences of at most 4096 tokens: a row per piece, null texts as empty ones."""
+    import public_tokenizers
+
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
@@ -93,15 +101,25 @@ STAGES = [
 ]
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on `documents`, each written to the shared folder and read again as the next one's input."""
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages on `documents`, each written to the shared folder and read again as the next one's input.
+
+    With a `folder` of the caller's, a stage that is finished there is not computed again: after a lost driver the run goes on where it stood.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = work_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        path = f"{folder.rstrip('/')}/{name}" if folder else work_path(spark, f"pipeline-{name}")
+        if not (folder and _finished(spark, path)):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
     return docs
 
 
+def _finished(spark: SparkSession, path: str) -> bool:
+    """Whether a writer has put its mark there: Spark does so last."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(prepare(spark), sf_dir)

@@ -7,6 +7,7 @@ with numpy over all URLs of a batch at once.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,9 +19,12 @@ from eddyline.llm.common import lower_ascii
 from eddyline.llm.registry import query, table
 
 BUCKETS = 1 << 15
-GRAMS = (3, 4, 5)
+GRAMS = (1, 2, 3, 4)
+HELD_OUT = 5  # one labelled row in so many chooses the threshold
+CLEAN_BLOCKED = 0.005  # of the clean held-out rows may be blocked
 MAX_LABELLED = 20_000
 SLICE_BYTES = 1 << 21
+HOST, PATH = 1, 2
 AFTER_SCHEME = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
 
 # fixed values: (host, path start, verdict)
@@ -32,34 +36,41 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 
-# fixed values: labelled URLs the model is trained on
-BLOCKED_URLS = """
-http://www.casino-royal.test/bonus http://best-casino.test/slots/play http://online-casino-win.test/ http://m.casino.test/en/12
-http://cheap-pills.test/order http://pills-online.test/en/5 http://buy-pills-now.test/ http://www.pharma-pills.test/cheap
-http://free-bets.test/odds http://sport-bets.test/ http://www.bets-win.test/live http://m.best-bets.test/en/88
-http://adult-video.test/ http://www.adult-chat.test/cams http://xxx-adult.test/en/3 http://adult-dating.test/join
-http://spam-links.test/ http://link-farm.test/a http://www.seo-farm.test/links http://content-farm.test/en/9
-http://ads-server.test/click http://track-ads.test/pixel http://www.ads-track.test/banner http://popup-ads.test/
-http://win-prize.test/claim http://you-win-cash.test/ http://free-money.test/now http://free-gift.test/en/7
-http://quick-loans.test/apply http://payday-loans.test/ http://poker-room.test/play http://www.poker-win.test/
-http://cheap-watches.test/replica http://replica-bags.test/ http://cheap-meds.test/rx http://viagra-cheap.test/
-http://hot-cams.test/live http://xxx-free.test/ http://porn-tube.test/v/2 http://free-porn.test/
-http://phish-bank.test/login http://crack-keys.test/serial http://warez-free.test/dl http://torrent-free.test/x
+# fixed values: words that names of blocked and of allowed hosts are made of
+BLOCKED_WORDS = """
+lottery jackpot poker roulette gamble wager loans payday credit debt crypto bitcoin forex invest profit rich earn bonus prize gift voucher coupon
+replica watches handbags rolex outlet discount bargain viagra diet slim keto detox pharma tablets rx meds cams dating hookup escort porn tube
+warez crack serial keygen torrent phish login verify popup banner clicks seo links backlink traffic followers likes
 """.split()
-ALLOWED_URLS = """
-http://www.news.test/world/12 http://weather.test/en/today http://blog.kitchen.test/recipes/9 http://library.test/catalog
-http://www.museum.test/en/visit http://shop.garden.test/tools http://university.test/courses/3 http://m.city.test/de/events
-http://docs.python.test/reference http://wiki.science.test/page/5 http://www.health.test/fr/88 http://river.test/es/4.html
-http://mountain.test/en/700 http://blog.travel.test/fr/15 http://forum.music.test/thread/8 http://history.test/de/61
-http://www.school.test/en/330 http://orchard.test/about http://m.theater.test/es/27 http://harbor.test/en/412.html
-http://thinker.test/en/34 http://www.therapy.test/fr/203 http://m.others.test/de/5 http://blog.weather.test/es/519
-http://northern.test/en/87 http://www.feather.test/fr/911 http://gathering.test/de/44 http://m.interest.test/en/60
-http://blog.stones.test/en/12?page=2 http://onward.test/fr/8#top http://rested.test/es/3 http://www.notion.test/de/77
-http://entire.test/en/256 http://hand.test/fr/128 http://blog.leather.test/en/64 http://m.nation.test/de/32
-http://thread.test/en/16 http://www.there.test/es/8 http://breath.test/fr/4 http://healing.test/en/2
-http://action.test/en/901 http://blog.motion.test/de/45 http://shore.test/fr/23 http://www.ether.test/es/12
-http://inform.test/en/6 http://m.worth.test/de/3 http://blog.honest.test/en/141 http://station.test/fr/59
+ALLOWED_SYLLABLES = "ba be bel bo bri ca cal ce cor da del di dor el en er fa fen gar ge ha hel in ka la lan le lin lo ma mar me mi mor na ne no on or pa per ra re ri ro sa sel so ta ten ter th ti to un ur va ver wen wo".split()
+ALLOWED_WORDS = """
+museum garden library school weather river history travel music science forum harbor mountain theater orchard university health journal city village
+bridge castle forest lake island market bakery pottery knitting chess football cricket cycling hiking astronomy physics chemistry biology grammar
+dictionary archive gallery studio quartet choir orchestra festival academy institute council hospital clinic pharmacy dentist railway airport
+software compiler database network recipes cooking breakfast vegetable butcher fishing sailing surfing climbing swimming
+newspaper magazine publisher bookshop poetry novel cinema documentary photograph painting sculpture architecture carpenter workshop
 """.split()
+PREFIXES, SUFFIXES = ("", "", "www.", "m.", "blog."), ("test", "site.test", "page.test")
+PATHS = ("/{n}", "/en/{n}", "/de/{n}.html", "/fr/{n}/", "/es/{n}", "/", "/en/{n}.html")
+SEEDS = 6_000
+HYPHENATED = 0.02  # of the allowed names
+
+
+def seed_table(n: int = SEEDS, seed: int = 11) -> list[tuple[str, int]]:
+    """Labelled URLs (url, blocked), half and half: names of two words of a trade joined by a hyphen, and common words or two to four syllables, a few of them
+    joined by a hyphen as well. Prefix, suffix and path are drawn alike for both."""
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        blocked = i % 2
+        if blocked:
+            name = "-".join(rnd.sample(BLOCKED_WORDS, 2))
+        else:
+            parts = [rnd.choice(ALLOWED_WORDS) if rnd.random() < 0.4 else "".join(rnd.choices(ALLOWED_SYLLABLES, k=rnd.randint(2, 4))) for _ in range(2)]
+            name = "-".join(parts) if rnd.random() < HYPHENATED else parts[0]
+        path = rnd.choice(PATHS).format(n=rnd.randrange(1, 10_000))
+        out.append((f"http://{rnd.choice(PREFIXES)}{name}.{rnd.choice(SUFFIXES)}{path}", blocked))
+    return out
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -79,8 +90,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def gram_hashes(values: Sequence[str], salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of every character n-gram, taken over UTF-8 bytes of ^value$."""
-    encoded = [b"^" + v.encode("utf-8", "replace") + b"$" for v in values]
+    """(row, bucket) of every character n-gram, taken over UTF-8 bytes of ^value$; in hosts a dot ends a label and no n-gram goes over it."""
+    encoded = [b"^" + v.encode("utf-8", "replace").replace(b".", b"$^") + b"$" for v in values] if salt == HOST else [b"^" + v.encode("utf-8", "replace") + b"$" for v in values]
     lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
     data = np.frombuffer(b"".join(encoded), np.uint8).astype(np.uint64)
     row = np.repeat(np.arange(len(encoded)), lengths)
@@ -94,42 +105,53 @@ def gram_hashes(values: Sequence[str], salt: int) -> tuple[np.ndarray, np.ndarra
             h = (h ^ data[k : len(data) - n + 1 + k]) * np.uint64(0xFF51AFD7ED558CCD)
             h ^= h >> np.uint64(32)
         inside = left[: len(h)] >= n
+        for k in range(n - 1):  # an end has to be last, so that a label's beginning is first
+            inside &= data[k : len(data) - n + 1 + k] != ord("$")
         rows.append(row[: len(h)][inside])
         buckets.append((h[inside] >> np.uint64(20)).astype(np.int64) % BUCKETS)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *rows]), np.concatenate([none, *buckets])
 
 
-def features(hosts: Sequence[str], paths: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    rows, buckets = zip(gram_hashes(hosts, 1), gram_hashes(paths, 2), strict=True)
-    return np.concatenate(rows), np.concatenate(buckets)
+def features(hosts: Sequence[str], paths: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of hosts and of paths: (row, bucket, scale of each row). Each part weighs the same however long it is, so a long path cannot drown the host."""
+    out = []
+    for values, salt in ((hosts, HOST), (paths, PATH)):
+        row, bucket = gram_hashes(values, salt)
+        out.append((row, bucket, 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(values)), 1))))
+    return out
 
 
 def scores(hosts: Sequence[str], paths: Sequence[str], weights: np.ndarray, bias: float) -> np.ndarray:
-    """Log-odds that a URL is to be blocked: mean weight of its n-grams, so long paths don't outweigh the bias."""
-    rows, buckets = features(hosts, paths)
-    total = np.bincount(rows, weights[buckets], len(hosts))
-    return bias + total / np.sqrt(np.maximum(np.bincount(rows, minlength=len(hosts)), 1))
+    """Log-odds that a URL is to be blocked, from the threshold on."""
+    return bias + sum(np.bincount(row, weights[bucket], len(hosts)) * scale for row, bucket, scale in features(hosts, paths))
 
 
-def train(labelled: DataFrame, url: str = "url", label: str = "blocked", rounds: int = 400, rate: float = 2.0, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+def train(labelled: DataFrame, url: str = "url", label: str = "blocked", rounds: int = 300, rate: float = 2.0, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias from labelled URLs (label 1: block). Rows with a null label are left out; at most `MAX_LABELLED`
-    rows, the first by hash, are fetched. Without rows the model allows everything."""
+    rows, the first by hash, are fetched. One in `HELD_OUT` does not train but sets the threshold: the least at which at most
+    `CLEAN_BLOCKED` of the clean ones among them are blocked. Without rows the model allows everything."""
     host, path = host_and_path(F.col(url))
     rows = labelled.where(F.col(label).isNotNull()).select(host.alias("host"), path.alias("path"), F.col(label).cast("double").alias("y"))
     sample = rows.orderBy(F.xxhash64("host", "path"), "host", "path", "y").limit(MAX_LABELLED).toPandas()
     weights = np.zeros(BUCKETS)
     if sample.empty:
         return weights, -1.0
-    y = sample["y"].to_numpy()
-    row, bucket = features(sample["host"].tolist(), sample["path"].tolist())
-    scale = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(y)), 1))
+    held = np.arange(len(sample)) % HELD_OUT == HELD_OUT - 1
+    used = sample[~held]
+    y = used["y"].to_numpy()
+    parts = features(used["host"].tolist(), used["path"].tolist())
     bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     for _ in range(rounds):
-        z = bias + np.bincount(row, weights[bucket], len(y)) * scale
+        z = bias + sum(np.bincount(row, weights[bucket], len(y)) * scale for row, bucket, scale in parts)
         miss = 1 / (1 + np.exp(-z)) - y
-        weights -= rate * (np.bincount(bucket, (miss * scale)[row], BUCKETS) / len(y) * 8 + ridge * weights)
+        step = sum(np.bincount(bucket, (miss * scale)[row], BUCKETS) for row, bucket, scale in parts)
+        weights -= rate * (step / len(y) * 8 + ridge * weights)
         bias -= rate * miss.mean() * 0.1
+    clean = sample[held & (sample["y"] == 0)]
+    if len(clean):
+        found = scores(clean["host"].tolist(), clean["path"].tolist(), weights, bias)
+        bias -= max(0.0, float(np.quantile(found, 1 - CLEAN_BLOCKED, method="higher")) + 1e-9)
     return weights, bias
 
 
@@ -159,7 +181,7 @@ def judge(urls: DataFrame, model: tuple[np.ndarray, float], rules: Sequence[tupl
 
 
 def seed_urls(spark) -> DataFrame:
-    return spark.createDataFrame([(u, 1) for u in BLOCKED_URLS] + [(u, 0) for u in ALLOWED_URLS], "url string, blocked int")
+    return spark.createDataFrame(seed_table(), "url string, blocked int")
 
 
 @query("op1_url_filter")

@@ -41,6 +41,8 @@ BLOCKED_WORDS = """
 lottery jackpot poker roulette gamble wager loans payday credit debt crypto bitcoin forex invest profit rich earn bonus prize gift voucher coupon
 replica watches handbags rolex outlet discount bargain viagra diet slim keto detox pharma tablets rx meds cams dating hookup escort porn tube
 warez crack serial keygen torrent phish login verify popup banner clicks seo links backlink traffic followers likes
+quick instant cash money deals sale buy hot sexy nude webcam teen milf fetish blackjack slots odds tipster sportsbook bingo
+mortgage refinance insurance trading broker stocks penny miracle cure botox steroids weightloss supplement hacks unlock generator coins giveaway survey
 """.split()
 ALLOWED_SYLLABLES = "ba be bel bo bri ca cal ce cor da del di dor el en er fa fen gar ge ha hel in ka la lan le lin lo ma mar me mi mor na ne no on or pa per ra re ri ro sa sel so ta ten ter th ti to un ur va ver wen wo".split()
 ALLOWED_WORDS = """

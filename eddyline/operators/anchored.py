@@ -102,15 +102,19 @@ def _chain(keys: Sequence[str]) -> Callable:
             starts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
             ends = np.r_[starts[1:], len(g)]
             out = pdf.iloc[starts][group].copy()
-            names = list(out[list(keys)].itertuples(index=False, name=None))
-            deadlines = np.empty(len(starts), dtype=np.int64)
-            for i, (s, e) in enumerate(zip(starts, ends)):
-                if names[i] != key:
-                    key, deadline = names[i], NEVER
+            ids = out.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
+            follows = np.r_[tuple(out.iloc[0][list(keys)]) == key, ids[1:] == ids[:-1]]
+            deadlines = np.full(len(starts), NEVER, dtype=np.int64)
+            # a block that no block of its key follows or precedes has nothing to hand on; the last one's key may go on in the next frame
+            for i in np.flatnonzero(follows | np.r_[follows[1:], True]):
+                if not follows[i]:
+                    deadline = NEVER
                 deadlines[i] = deadline
+                s, e = starts[i], ends[i]
                 at = s + int(np.searchsorted(entry[s:e], deadline))
                 if at < e:
                     deadline = int(leave[at])
+            key = tuple(out.iloc[-1][list(keys)])
             out["_deadline"] = deadlines
             yield out
 

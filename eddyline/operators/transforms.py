@@ -13,6 +13,9 @@ def split_words(df: DataFrame, text: str, separator: str = " ", out: str = "word
     return df.select(F.explode(F.split(F.col(text), separator)).alias(out))
 
 
+STRETCH = 10_000
+
+
 def word_count(df: DataFrame, text: str, separator: str = " ") -> DataFrame:
     return split_words(df, text, separator).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -23,10 +26,16 @@ def word_count_with_prefix(df: DataFrame, text: str, prefix: str, separator: str
 
 
 def countdown(df: DataFrame, number: str, out: str = "x") -> DataFrame:
-    """The feedback loop x, x-1, ... as one expression: every positive value down to 1, or the value itself."""
-    x = F.col(number).cast("long")
-    one = F.lit(1).cast("long")
-    return df.withColumn(out, F.explode(F.when(x >= 1, F.sequence(x, one, -one)).otherwise(F.array(x))))
+    """The feedback loop x, x-1, ... as two generators: every positive value down to 1, or the value itself.
+
+    The rows come in stretches of `STRETCH` values, so the lists in memory stay short however large the value is.
+    """
+    x, size, zero, one = F.col(number).cast("long"), F.lit(STRETCH).cast("long"), F.lit(0).cast("long"), F.lit(1).cast("long")
+    parts = F.sequence(zero, F.greatest(F.call_function("div", x - 1, size), zero))
+    each = df.withColumn("_part", F.explode(F.coalesce(parts, F.array(zero))))
+    top = x - F.col("_part") * size
+    values = F.when(x >= 1, F.sequence(top, F.greatest(top - size + 1, one), -one)).otherwise(F.array(x))
+    return each.withColumn(out, F.explode(values)).drop("_part")
 
 
 def countdown_exit(df: DataFrame, number: str, out: str = "x") -> DataFrame:

@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BATCH_BYTES = 8 << 20
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -27,12 +28,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings only, so it is safe on a session somebody else made.
 
     UTC makes epoch arithmetic and window alignment agree; AQE splits skewed join partitions and sizes
-    shuffles from what was really written; RocksDB keeps streaming state off the heap.
+    shuffles from what was really written; RocksDB keeps streaming state off the heap; batches handed to Python are bounded by bytes, not
+    only by rows, so long texts don't add up.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     _ship_package(spark.conf.get("spark.app.id"))
     return spark
 

@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from eddyline.plans.inputs import epoch_us
-
 
 def with_state(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, mode: str = "append", time_mode: str = "EventTime") -> DataFrame:
     return df.groupBy(key).transformWithState(processor, schema, mode, time_mode)
@@ -385,4 +383,4 @@ class GreedyBefore(StatefulProcessor):
 
 def with_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Watermark plus the integer time `t` the processors use."""
-    return stream.withColumn("t", epoch_us(F.col(ts))).withWatermark(ts, delay)
+    return stream.withColumn("t", F.unix_micros(F.col(ts).cast("timestamp"))).withWatermark(ts, delay)

@@ -70,6 +70,22 @@ def as_query(df):
     return df.withColumnRenamed("key", "doc_id")
 
 
+def test_strings_that_collide_in_polynomials(spark):
+    """A Thue-Morse string and its complement have one polynomial hash modulo 2^64 in every odd base: as lines, as words and as stretches of text."""
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    texts = [(1, f"{one}\n{other}"), (2, f"{one} w x y z"), (3, f"{other} w x y z"), (4, f"{one} w x y z")]
+    df = frame(spark, texts)
+    lines = {r.doc_id: r.n_dup_lines for r in quality.rate(df).select("doc_id", "n_dup_lines").collect()}
+    assert lines == {1: 0, 2: 0, 3: 0, 4: 0}
+    assert {r.key: r.component_id for r in near_dup.near_duplicates(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 2}
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans"]
+    some = [(1, one), (2, other[:1024])]
+    assert rows(suffix_dedup.without_repeats(frame(spark, some)).select(*names)) == sorted((r[:4] for r in brute.repeats(some)), key=repr)
+
+
 def test_url_rules_and_model(spark, nothing):
     urls = ["http://a.com/", "http://A.EXAMPLE.com/en/x?q=/", "https://www.example.com/en/", "http://x.www.example.com/en/1#t", "http://notexample.com/en/", "http://b.net/es/1",
             "http://b.net/es", "http://com", "http://c.org?x/", "no scheme", None, "", "ftp://h/p://q/r", "http://www.lottery-loans.org/bonus", "http://kitchen.org/recipes/9", "x://" + "a" * 50_000 + "/b"]

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from eddyline.operators.blocks import is_small
 from eddyline.session import cut
 
 Columns = dict[str, np.ndarray]
@@ -177,8 +178,11 @@ def _reducer(keys: Sequence[str], monoid: Monoid, inputs: Sequence[str], place:
     return run
 
 
-def _laid(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+def _laid(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, bool]:
+    """Rows in order, and whether a key may go on in the next task. Where no key can be hot, whole keys are dealt by hash, which needs no sample."""
+    whole = bool(keys) and is_small(df)
+    dealt = df.repartition(*keys) if whole else df.repartitionByRange(*keys, *order)
+    return dealt.sortWithinPartitions(*keys, *order), not whole
 
 
 def reduce_by_key(df: DataFrame, keys: Sequence[str], monoid: Monoid, inputs: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -190,7 +194,7 @@ def reduce_by_key(df: DataFrame, keys: Sequence[str], monoid: Monoid, inputs: Se
     rows = df.select(*dict.fromkeys([*keys, *order, *inputs]))
     place = "_place"
     if order:
-        sorted_rows = _laid(rows, keys, order).withColumn(place, F.monotonically_increasing_id())
+        sorted_rows = _laid(rows, keys, order)[0].withColumn(place, F.monotonically_increasing_id())
     else:
         sorted_rows = rows.sortWithinPartitions(*keys).withColumn(place, F.monotonically_increasing_id()) if keys else rows.withColumn(place, F.monotonically_increasing_id())
     partial = StructType([*[df.schema[k] for k in keys], *StructType.fromDDL(f"{place} bigint"), *monoid.fields])
@@ -295,7 +299,7 @@ def _chained(keys: Sequence[str], monoid: Monoid) -> Callable[[Batches], Batches
 def scan_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], monoid: Monoid, inputs: Sequence[str]) -> DataFrame:
     """Every row with `_before` (false for a key's first row), `_before_<column>` for the state of all earlier rows of its key, and `_last`.
 
-    `order` must be unique within a key. Null keys are a key. The rows are written once, to the shared folder.
+    `order` must be unique within a key. Null keys are a key. Where a key may lie in several tasks, the rows are written once, to the shared folder.
     """
     keys, states = list(keys), monoid.fields
     extra = f"{BEFORE} boolean, _first boolean, {LAST} boolean, _task int, _kind int"
@@ -304,12 +308,16 @@ def scan_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], monoid
         f.name = f"{BEFORE}_{s.name}"
     begins = [StructType.fromDDL(f"`_begin_{k}` {df.schema[k].dataType.simpleString()}")[0] for k in keys]
     schema = StructType([*fields, *StructType.fromDDL(extra), *begins])
-    rows = cut(_laid(df, keys, order).mapInArrow(_scanner(keys, monoid, list(inputs), to_arrow_schema(schema)), schema), "scan")
+    laid, split = _laid(df, keys, order)
+    scan = laid.mapInArrow(_scanner(keys, monoid, list(inputs), to_arrow_schema(schema)), schema)
+    kept = [*df.columns, BEFORE, *[f"{BEFORE}_{f.name}" for f in states], LAST]
+    if not split:
+        return scan.where("_kind < 2").select(*kept)
+    rows = cut(scan, "scan")
 
     carry_schema = f"_task int, _brought boolean, _goes_on boolean, {', '.join(f'`_c_{f.name}` {f.dataType.simpleString()}' for f in states)}"
     tasks = rows.where("_kind = 2").coalesce(1).sortWithinPartitions("_task").mapInArrow(_chained(keys, monoid), carry_schema)
     carries = cut(tasks.where("_brought or _goes_on"), "carries")
-    kept = [*df.columns, BEFORE, *[f"{BEFORE}_{f.name}" for f in states], LAST]
     own = rows.where("_kind < 2")
     if carries.isEmpty():
         return own.select(*kept)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eddyline.operators import pairing, scans
+from eddyline.operators import blocks, pairing, scans
 from eddyline.operators.scans import Monoid, reduce_by_key, scan_by_key
 
 # affine maps x -> a x + b, composed in order: associative, not commutative
@@ -35,9 +35,10 @@ def data(n, seed):
     return [(rnd.choice(["hot", "hot", "hot", None, *map(str, range(40))]), i, rnd.randrange(1000), rnd.choice("abc")) for i in rnd.sample(range(10 * n), n)]
 
 
-@pytest.fixture(params=[(4, 10_000), (7, 13), (200, 3)], ids=["few tasks", "small batches", "many tasks"])
-def layout(spark, request):
-    """Tasks that hold many keys, and keys that go over many tasks."""
+@pytest.fixture(params=[(4, 10_000, 0), (7, 13, 0), (200, 3, 0), (5, 13, 8_000_000)], ids=["few tasks", "small batches", "many tasks", "no hot keys"])
+def layout(spark, request, monkeypatch):
+    """Tasks that hold many keys, keys that go over many tasks, and whole keys dealt by hash."""
+    monkeypatch.setattr(blocks, "HOT_ROWS", request.param[2])
     before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled")}
     spark.conf.set("spark.sql.shuffle.partitions", request.param[0])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", request.param[1])

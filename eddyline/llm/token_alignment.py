@@ -28,8 +28,8 @@ from eddyline.llm.ragged import Words, as_lists, flat, gather, offsets_of, sums,
 from eddyline.llm.registry import query, table
 from eddyline.session import cut
 
-SLICE_BYTES = 2 << 20
-REMEMBERED = 150_000  # words
+SLICE_BYTES = 4 << 20
+REMEMBERED = 150_000  # words of a generation; there are two
 PACKED = 4  # ids of 16 bits in one number
 
 Batches = Iterator[pa.RecordBatch]
@@ -81,20 +81,26 @@ class Aligner:
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
         self.words: dict[bytes, tuple | None] = {}
+        self.older: dict[bytes, tuple | None] = {}
+        self.names = [list(map(str, range(len(side.spellings)))) for side in (a, b)]
         self.packable = max(len(a.spellings), len(b.spellings)) < (1 << 16) - 1
 
     def tokenized(self, words: list[bytes]) -> list[tuple | None]:
         """(A ids, B ids) of each word, None where one of them does not spell the word."""
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = words
+        found = [self.words.get(w, ()) for w in words]
+        for i, w in enumerate(words):
+            if found[i] == () and (ids := self.older.get(w, ())) != ():
+                found[i] = self.words[w] = ids
+        places = [i for i, f in enumerate(found) if f == ()]
+        new = [words[i] for i in places]
         spelt = [w.decode() for w in new]
         ids = [side.encode(spelt) for side in (self.a, self.b)]
         right = [self.spells(side, x, new) for side, x in zip((self.a, self.b), ids)]
-        for w, x, y, one, other in zip(new, *ids, *right):
-            self.words[w] = (x, y) if one and other else None
-        return [self.words[w] for w in words]
+        for i, w, x, y, one, other in zip(places, new, *ids, *right):
+            found[i] = self.words[w] = (x, y) if one and other else None
+        if len(self.words) > REMEMBERED:  # what is not used in the next generation is forgotten
+            self.words, self.older = {}, self.words
+        return found
 
     @staticmethod
     def spells(side: Side, ids: list[list[int]], words: list[bytes]) -> list[bool]:
@@ -150,9 +156,9 @@ class Aligner:
         link_offsets = np.concatenate([[0], np.searchsorted(every, last, "right")])
         shared, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         group_offsets = np.concatenate([[0], np.searchsorted(shared, last, "right")])
-        one, other = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        one, other = (list(map(names.__getitem__, ids.tolist())) for names, ids in zip(self.names, (a, b)))
         ends = zip([0, *(in_a[:-1] + 1).tolist()], (in_a + 1).tolist(), [0, *(in_b[:-1] + 1).tolist()], (in_b + 1).tolist())
-        groups = [f"{','.join(one[i:j])}|{','.join(other[k:m])}" for i, j, k, m in ends]
+        groups = [f"{one[i]}|{other[k]}" if j - i == m - k == 1 else f"{','.join(one[i:j])}|{','.join(other[k:m])}" for i, j, k, m in ends]
         texts = [";".join(groups[i:j]) for i, j in zip(group_offsets[:-1].tolist(), group_offsets[1:].tolist())]
         return texts, np.diff(group_offsets), pairs, link_offsets
 

@@ -32,7 +32,7 @@ from eddyline.session import cut
 BLOCK = "_block"
 CONTEXT = "_context"
 HOT = "_hot"
-HOT_ROWS = 8_000_000  # more rows than one task should sort
+HOT_ROWS = 1_000_000  # more rows than one task should sort: a wide row takes about 250 bytes in the sort, the window and the aggregation that follows
 EDGE_SAMPLES = 32  # sampled rows per block: block sizes stay within a factor of two
 ROW_BYTES = 4  # a row of a table takes at least so many
 Width = Column | int | None  # None: quantile edges

@@ -28,7 +28,7 @@ def many_events(spark, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", ["win_evict_late", "late_allowed", "late_drop", "win_global_count_all", "win_session_all", "win_count_all", "late_side_output"])
+@pytest.mark.parametrize("name", ["win_evict_late", "late_allowed", "late_drop", "win_global_count_all", "win_session_all", "win_count_all", "late_side_output", "wm_punctuated_custom"])
 def test_no_block_holds_the_whole_table(spark, many_events, monkeypatch, name):
     sizes = []
     plain = blocks.cut_into_blocks
